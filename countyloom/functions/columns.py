@@ -49,6 +49,7 @@ def _number(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
+    """Text to DOUBLE; blanks and anything that is not a number give null."""
     return _number(c)
 
 

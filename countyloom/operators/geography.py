@@ -23,8 +23,8 @@ GEO_COLUMNS = [
 def normalize_codes(rows: DataFrame, spark: SparkSession) -> DataFrame:
     """Add the seven geography columns to rows that carry source_era, state_code and county_code.
 
-    Two left joins to the constant 56-row crosswalk, both broadcast, so the rows are never shuffled. Each
-    pattern is tested once per row and kept as a code kind.
+    Two left joins to the constant 56-row crosswalk, both broadcast, so the rows are never shuffled. Codes are
+    classified once; lookup and length decide first, which leaves at most one pattern test per usual code.
     """
     states = state_crosswalk(spark)
     by_abbr = F.broadcast(states.select(F.col("state_abbr").alias("_abbr"), F.col("state_fips").alias("_abbr_fips")))
@@ -33,22 +33,24 @@ def normalize_codes(rows: DataFrame, spark: SparkSession) -> DataFrame:
     state, county = F.col("_state"), F.col("_county")
     cleaned = rows.withColumns(
         {"_state": F.upper(F.trim("state_code")), "_county": F.upper(F.trim("county_code"))}
-    ).withColumns(
+    ).join(by_abbr, F.col("_state") == F.col("_abbr"), "left")
+    width = F.length(county)
+    classified = cleaned.withColumns(
         {
-            "_state_kind": F.when(state.isNull() | state.isin("", "NA"), "missing")
+            "_state_kind": F.when(F.col("_abbr_fips").isNotNull(), "letters")
+            .when(state.isNull() | state.isin("", "NA"), "missing")
             .when(full_match(state, "[0-9]{1,2}"), "digits")
             .when(full_match(state, "[A-Z]{2}"), "letters")
             .otherwise("other"),
             "_county_kind": F.when(county.isNull() | county.isin("", "NA"), "missing")
-            .when(full_match(county, "[0-9]{1,3}"), "part")
-            .when(full_match(county, "[0-9]{5}"), "full")
+            .when((width <= 3) & full_match(county, "[0-9]+"), "part")
+            .when((width == 5) & full_match(county, "[0-9]+"), "full")
             .otherwise("other"),
         }
     )
 
     state_kind, county_kind = F.col("_state_kind"), F.col("_county_kind")
-    looked_up = cleaned.withColumn("_prefix", F.when(county_kind == "full", F.substring(county, 1, 2)))
-    looked_up = looked_up.join(by_abbr, F.col("_state") == F.col("_abbr"), "left").join(
+    looked_up = classified.withColumn("_prefix", F.when(county_kind == "full", F.substring(county, 1, 2))).join(
         by_fips, F.col("_prefix") == F.col("_known_fips"), "left"
     )
 

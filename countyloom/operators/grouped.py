@@ -1,9 +1,10 @@
-"""Grouped aggregation whose exact medians survive very large groups.
+"""Grouped aggregation with exact medians that hold up when one group has a large share of all rows.
 
-A single-buffer median holds every distinct value of a group in one task. Here values are first counted,
-which bounds hot values, then located through a histogram: the buckets of a group are ordered to find the
-one or two that hold the middle ranks, and only the values in those buckets are ordered. No task ever sees a
-whole group.
+The built-in median keeps the distinct values of a group in one buffer. That is the fastest plan for groups of
+ordinary size and is used for them. Groups above a row limit take another exact route: values are counted
+first, which collapses repeated values before the shuffle, then located through a histogram. The buckets of a
+group are ordered to find the one or two that hold the middle ranks, and only values in those buckets are
+ordered, so no task sees a whole group.
 """
 
 from __future__ import annotations
@@ -13,8 +14,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Histogram buckets per factor of e. Buckets are about 1.6 % wide; a group spans at most
-# 2 * 710 * 64 of them over the whole double range, and under 1,500 for amounts up to 10^10.
+from countyloom.sources.storage import ensure_checkpoint_dir
+
+# A group with more rows than this does not use the single-buffer median.
+LARGE_GROUP = 100_000
+
+# Keys of large groups are broadcast up to this many; beyond it the join is left to the optimizer.
+BROADCAST_KEYS = 20_000
+
+# Histogram buckets per factor of e. A bucket is about 1.6 % wide, so amounts up to 10^10 fill at most
+# 1,500 buckets, and the whole double range 91,000.
 BUCKETS_PER_E = 64
 
 # Stand-ins for null group keys, so that joins on keys stay plain equi-joins. Neither can occur: text keys come
@@ -39,11 +48,10 @@ def bucket_of(value: Column) -> Column:
     return F.signum(v) * F.rint(F.log1p(F.abs(v)) * BUCKETS_PER_E)
 
 
-def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str, upper: bool = False) -> DataFrame:
-    """Exact median of `value` per group, as (keys..., name). Keys must not be null.
+def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Exact median of `value` per group by histogram, as (keys..., name). Keys must not be null.
 
-    With `upper` the result is the element at position n // 2 of the sorted values; otherwise the middle two are
-    averaged. Groups without a value do not appear.
+    Groups without a value do not appear.
     """
     keys = list(keys)
     counts = (
@@ -55,8 +63,6 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str,
 
     in_group = Window.partitionBy(*keys)
     total, upto = F.col("_total"), F.col("_upto")
-    high = F.floor(total / 2) + 1
-    low = high if upper else F.floor((total + 1) / 2)
     middle = (
         counts.groupBy(*keys, "_bucket")
         .agg(F.sum("_n").alias("_in_bucket"))
@@ -66,33 +72,87 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str,
                 "_upto": F.sum("_in_bucket").over(in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)),
             }
         )
-        .withColumns({"_low": low, "_high": high, "_before": upto - F.col("_in_bucket")})
+        .withColumns(
+            {
+                "_low": F.floor((total + 1) / 2),
+                "_high": F.floor(total / 2) + 1,
+                "_before": upto - F.col("_in_bucket"),
+            }
+        )
         .where((upto >= F.col("_low")) & (F.col("_before") < F.col("_high")))
         .select(*keys, "_bucket", "_before", "_low", "_high")
     )
 
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    first, last = F.min("_value"), F.max("_value")
-    halfway = F.when(first == last, first.cast("double")).otherwise(first + (last - first) / 2)
+    low, high = F.min("_value").cast("double"), F.max("_value").cast("double")
     return (
         counts.join(middle, [*keys, "_bucket"])
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_bucket))
         .where((upto >= F.col("_low")) & (upto - F.col("_n") < F.col("_high")))
         .groupBy(*keys)
-        .agg((first if upper else halfway).alias(name))
+        .agg(F.when(low == high, low).otherwise(low + (high - low) / 2).alias(name))
     )
 
 
+def _above(sizes: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int]:
+    """Keys whose `_n` adds up to more than `limit`, checkpointed so that no later plan counts again."""
+    found = sizes.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > limit).select(*keys).checkpoint()
+    return found, found.count()
+
+
+def _small(keys: DataFrame, n: int) -> DataFrame:
+    """Broadcast a key list whose length is known and short; leave a longer one to the optimizer."""
+    return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
+
+
+def large_groups(
+    rows: DataFrame, keys: Sequence[str], limit: int, cells: DataFrame | None = None
+) -> tuple[DataFrame, int]:
+    """Keys of the groups with more than `limit` rows, and how many there are. Runs a counting job.
+
+    `cells` are rows counted beforehand (`row_count`) at any grain that holds some of the keys. A group cannot be
+    larger than the coarser group around it, so cells often settle the question without reading rows, and
+    otherwise restrict the counting to the few coarse groups that matter.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    keys = list(keys)
+    if cells is not None:
+        coarse = [k for k in keys if k in cells.columns]
+        sized = encode_keys(cells, coarse).withColumn("_n", F.col("row_count"))
+        around, n = _above(sized, coarse, limit)
+        if n == 0 or coarse == keys:
+            return around, n
+        rows = rows.join(_small(around, n), coarse, "left_semi")
+    return _above(rows.withColumn("_n", F.lit(1)), keys, limit)
+
+
 def summarise(
-    rows: DataFrame, keys: Sequence[str], measures: Mapping[str, Column], medians: Mapping[str, str]
+    rows: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Column],
+    medians: Mapping[str, str],
+    cells: DataFrame | None = None,
+    large_group: int = LARGE_GROUP,
 ) -> DataFrame:
     """Group by `keys` with ordinary `measures` plus exact `medians` (result name → value column).
 
-    Measures should have fixed-width buffers, so that they run as partial and final hash aggregates. Medians
-    read only the keys and one value column and join back on the keys.
+    Without large groups (see `large_groups` for `cells`) this is one aggregation. Otherwise measures keep their
+    hash aggregate, medians are computed apart for ordinary and for large groups, and join back on the keys.
     """
+    keys = list(keys)
     keyed = encode_keys(rows, keys)
-    out = keyed.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
+    plain = [m.alias(n) for n, m in measures.items()]
+    builtin = [F.median(value).alias(name) for name, value in medians.items()]
+    large, n_large = large_groups(keyed, keys, large_group, cells)
+    if n_large == 0:
+        return decode_keys(keyed.groupBy(*keys).agg(*plain, *builtin), keys)
+
+    large = _small(large, n_large)
+    ordinary = keyed.join(large, keys, "left_anti").groupBy(*keys).agg(*builtin)
+    heavy = None
+    in_large = keyed.join(large, keys, "left_semi")
     for name, value in medians.items():
-        out = out.join(grouped_median(keyed, keys, value, name), list(keys), "left")
+        one = grouped_median(in_large, keys, value, name)
+        heavy = one if heavy is None else heavy.join(one, keys, "full")
+    out = keyed.groupBy(*keys).agg(*plain).join(ordinary.unionByName(heavy), keys, "left")
     return decode_keys(out, keys)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.functions import has_text, text_or_null, to_double, to_int
+from countyloom.functions import has_text, to_double, to_int
 from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ
 from countyloom.sources.files import raw_alias, read_era
 
@@ -69,12 +69,12 @@ def canonical(annual: DataFrame, era: str) -> DataFrame:
         F.col("state_code").cast("string").alias("state_code"),
         F.col("county_code").cast("string").alias("county_code"),
         F.col(layout["tract"]).cast("string").alias("census_tract"),
-        (to_double(text_or_null(F.col(layout["amount"]))) * layout["amount_unit"]).alias("loan_amount"),
+        (to_double(F.col(layout["amount"])) * layout["amount_unit"]).alias("loan_amount"),
         F.col("loan_type").cast("string").alias("loan_type"),
         F.col("loan_purpose").cast("string").alias("loan_purpose"),
         F.col(layout["occupancy"]).cast("string").alias("occupancy_type"),
         F.col("action_taken").cast("string").alias("action_taken"),
-        to_double(text_or_null(F.col(layout["income"]))).alias("applicant_income"),
+        to_double(F.col(layout["income"])).alias("applicant_income"),
         # Only computed where it is selected: column pruning drops it from every panel.
         F.to_json(F.struct(*layout["kept"]), {"ignoreNullFields": "false"}).alias("raw_source_columns"),
     )

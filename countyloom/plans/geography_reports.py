@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countyloom.functions import full_match, has_text, missing_or_na, sum_where
-from countyloom.operators.geography import GEO_COLUMNS, normalize_codes
+from countyloom.operators.geography import GEO_COLUMNS
 
 
 EXAMPLE_COLUMNS = ["activity_year", "source_era", "state_code", "county_code", *GEO_COLUMNS]
@@ -16,10 +16,6 @@ def _rows_where(predicate: Column) -> Column:
     return sum_where(F.col("row_count"), predicate)
 
 
-def geo_cells(cells: DataFrame, spark: SparkSession) -> DataFrame:
-    return normalize_codes(cells, spark)
-
-
 def raw_formats(cells: DataFrame) -> DataFrame:
     """Code formats per year and era. Codes are trimmed but not upper-cased here."""
     state, county = F.col("state_code"), F.col("county_code")

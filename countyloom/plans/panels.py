@@ -49,24 +49,32 @@ def _code_counts(column: str, codes: tuple[str, ...]) -> dict[str, Column]:
     return out
 
 
+MEDIANS = {"median_loan_amount": "loan_amount"}
+
+
+def _known(rows: DataFrame | None) -> DataFrame | None:
+    return None if rows is None else rows.where(F.col("county_fips_5").isNotNull())
+
+
 def distinct_lenders() -> Column:
     return distinct_where(F.col("lender_id"), has_text(F.col("lender_id")))
 
 
-def county_year_lending(geo: DataFrame) -> DataFrame:
-    """One row per year, state and county, over rows whose county is known."""
+def county_year_lending(geo: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """One row per year, state and county, over rows whose county is known.
+
+    `cells` are normalised code cells, if at hand; they spare the panel a counting pass over the rows.
+    """
     measures = {
         **_denominators("total_records", "total_applications"),
         **_amounts(),
         "lender_count": distinct_lenders(),
     }
-    out = summarise(
-        geo.where(F.col("county_fips_5").isNotNull()), COUNTY_KEYS, measures, {"median_loan_amount": "loan_amount"}
-    )
+    out = summarise(_known(geo), COUNTY_KEYS, measures, MEDIANS, _known(cells))
     return out.select(*[c for c in out.columns if c not in ("median_loan_amount", "lender_count")], "median_loan_amount", "lender_count")
 
 
-def lender_county_year(geo: DataFrame) -> DataFrame:
+def lender_county_year(geo: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """One row per year, state, county and lender, over rows whose county and lender are known.
 
     The identifier type is aggregated as a small integer and named afterwards: text has no fixed width, and
@@ -80,8 +88,8 @@ def lender_county_year(geo: DataFrame) -> DataFrame:
         **_code_counts("loan_type", LOAN_TYPE_CODES),
         **_code_counts("loan_purpose", LOAN_PURPOSE_CODES),
     }
-    known = geo.where(F.col("county_fips_5").isNotNull() & has_text(F.col("lender_id")))
-    out = summarise(known, LENDER_KEYS, measures, {"median_loan_amount": "loan_amount"})
+    known = _known(geo).where(has_text(F.col("lender_id")))
+    out = summarise(known, LENDER_KEYS, measures, MEDIANS, _known(cells))
     first = [c for c in measures if c != "_kind"]
     split = first.index("average_loan_amount") + 1
     return out.select(

@@ -7,31 +7,20 @@ which also cuts their lineage: a lost executor costs a re-read, not a rebuild.
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.operators.geography import code_cells, loan_years_geo
+from countyloom.operators.geography import code_cells, loan_years_geo, normalize_codes
 from countyloom.plans import canonical, exports, panels
 from countyloom.schemas import KEY_VALUE
 from countyloom.sources.files import AnnualSource, read_ledger, read_published_csv
+from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest, ledger_path
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder for one run under `spark.checkpoint.dir`; a local folder only in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/countyloom-{uuid.uuid4().hex}"
-
-
 class Run:
     """Views and tables of one annual dataset. Nothing is computed before it is asked for."""
 
@@ -69,9 +58,13 @@ class Run:
     def code_cells(self) -> DataFrame:
         return self.stored("code_cells", lambda: code_cells(self.loan_years))
 
+    @property
+    def geo_cells(self) -> DataFrame:
+        return normalize_codes(self.code_cells, self.spark)
+
     @property
     def county_year_lending(self) -> DataFrame:
-        return self.stored("county_year_lending", lambda: panels.county_year_lending(self.loan_years_geo))
+        return self.stored("county_year_lending", lambda: panels.county_year_lending(self.loan_years_geo, self.geo_cells))
 
     @property
     def county_missing_geo(self) -> DataFrame:
@@ -79,7 +72,7 @@ class Run:
 
     @property
     def lender_county_year(self) -> DataFrame:
-        return self.stored("lender_county_year", lambda: panels.lender_county_year(self.loan_years_geo))
+        return self.stored("lender_county_year", lambda: panels.lender_county_year(self.loan_years_geo, self.geo_cells))
 
     @property
     def lender_missing_lender(self) -> DataFrame:

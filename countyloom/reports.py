@@ -8,15 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.operators.geography import normalize_codes
 from countyloom.plans import canonical, exports, panels, profile, quality, readiness, schema_audit
 from countyloom.plans import geography_reports as geography
 from countyloom.plans.ingest import validation_report
-from countyloom.plans.pipeline import VOLATILE_LOG_KEYS, Run, build_log, shared_folder, start
+from countyloom.plans.pipeline import VOLATILE_LOG_KEYS, Run, build_log, start
 from countyloom.sources.catalog import catalog_objects, schema_rows
 from countyloom.sources.derived import write_raw_files
 from countyloom.sources.dimensions import action_metadata, column_metadata, state_crosswalk
 from countyloom.sources.files import AnnualSource
+from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest, revalidate
 
 _open_runs: dict[tuple[str, str], tuple[Run, list[AnnualSource]]] = {}
@@ -51,10 +51,6 @@ def _schema(run: Run) -> DataFrame:
     return schema_rows(run.spark, run.annual_root, _years(run))
 
 
-def _geo_cells(run: Run) -> DataFrame:
-    return normalize_codes(run.code_cells, run.spark)
-
-
 def _ingest_incremental(run: Run) -> DataFrame:
     """Ingest the even years, then all years into the same dataset: the second ledger shows what was skipped."""
     root = f"{shared_folder(run.spark)}/annual"
@@ -102,22 +98,22 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "year_summary": lambda r: canonical.year_summary(r.loan_years),
     "build_log": lambda r: build_log(r, _years(r)).where(~F.col("key").isin(*VOLATILE_LOG_KEYS)),
     # geography
-    "state_fips_crosswalk": lambda r: readiness.crosswalk_usage(state_crosswalk(r.spark), _geo_cells(r)),
+    "state_fips_crosswalk": lambda r: readiness.crosswalk_usage(state_crosswalk(r.spark), r.geo_cells),
     "loan_years_geo": lambda r: r.loan_years_geo,
     "geo_raw_formats": lambda r: geography.raw_formats(r.code_cells),
-    "geo_validation_by_year": lambda r: geography.validation_by_year(_geo_cells(r)),
-    "geo_validation_totals": lambda r: geography.validation_totals(_geo_cells(r)),
-    "geo_unmapped_examples": lambda r: geography.unmapped_examples(_geo_cells(r)),
-    "geo_sample_mappings": lambda r: geography.sample_mappings(_geo_cells(r)),
-    "geo_source_flags": lambda r: geography.source_flags(_geo_cells(r)),
+    "geo_validation_by_year": lambda r: geography.validation_by_year(r.geo_cells),
+    "geo_validation_totals": lambda r: geography.validation_totals(r.geo_cells),
+    "geo_unmapped_examples": lambda r: geography.unmapped_examples(r.geo_cells),
+    "geo_sample_mappings": lambda r: geography.sample_mappings(r.geo_cells),
+    "geo_source_flags": lambda r: geography.source_flags(r.geo_cells),
     # panels and exclusion tables
-    "county_year_lending": lambda r: panels.county_year_lending(r.loan_years_geo),
+    "county_year_lending": lambda r: panels.county_year_lending(r.loan_years_geo, r.geo_cells),
     "county_year_missing_geo_qa": lambda r: panels.county_year_missing_geo(r.loan_years_geo),
     "action_taken_metadata": lambda r: readiness.action_metadata_usage(action_metadata(r.spark), r.loan_years),
     "county_panel_summary": lambda r: panels.county_panel_summary(r.county_year_lending),
     "county_panel_by_year": lambda r: panels.county_panel_by_year(r.county_year_lending),
     "county_panel_geo_consistency": lambda r: panels.county_panel_geo_consistency(r.county_year_lending),
-    "lender_county_year": lambda r: panels.lender_county_year(r.loan_years_geo),
+    "lender_county_year": lambda r: panels.lender_county_year(r.loan_years_geo, r.geo_cells),
     "lender_panel_missing_lender_qa": lambda r: panels.lender_panel_missing_lender(r.loan_years_geo),
     "lender_panel_missing_geo_qa": lambda r: panels.lender_panel_missing_geo(r.loan_years_geo),
     "lender_panel_summary": lambda r: panels.lender_panel_summary(r.lender_county_year),

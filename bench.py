@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from countyloom.plans import exports
-from countyloom.reports import REPORTS, _sources_of, open_run
+from countyloom.reports import REPORTS, open_run
 from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest
 
@@ -65,7 +65,7 @@ def main() -> None:
 
     timed("open_run", lambda: open_run(spark, sf_dir))
     run = open_run(spark, sf_dir)
-    timed("ingest_annual", lambda: ingest(spark, _sources_of(run), f"{shared_folder(spark)}/annual"))
+    timed("ingest_annual", lambda: ingest(spark, run.sources, f"{shared_folder(spark)}/annual"))
     timed("store_code_cells", lambda: run.code_cells)
     timed("store_county_panel", lambda: run.county_year_lending)
     timed("store_lender_panel", lambda: run.lender_county_year)

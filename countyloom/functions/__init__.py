@@ -5,6 +5,7 @@ from countyloom.functions.columns import (  # noqa: F401
     has_text,
     missing_or_na,
     no_text,
+    shown,
     sum_where,
     text_or_null,
     to_double,

@@ -71,3 +71,8 @@ def count_where(predicate: Column) -> Column:
 def distinct_where(c: Column, predicate: Column) -> Column:
     """Distinct values under a condition. The CASE form plans without the Expand a FILTER clause needs."""
     return F.count_distinct(F.when(predicate, c))
+
+
+def shown(c: Column, decimals: int = 0) -> Column:
+    """Number as text with thousands separators; null becomes an empty text. For display only."""
+    return F.coalesce(F.format_number(c, decimals), F.lit(""))

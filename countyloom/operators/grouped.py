@@ -10,6 +10,7 @@ ordered, so no task sees a whole group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,9 +55,12 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str)
     Groups without a value do not appear.
     """
     keys = list(keys)
+    # The null tests repeat what the join below implies. Written here, they hold for both uses of the counts,
+    # which keeps the two plans equal and lets the second use read the first one's shuffle.
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, "_bucket", "_value")])
     counts = (
-        rows.where(F.col(value).isNotNull())
-        .select(*keys, bucket_of(F.col(value)).alias("_bucket"), F.col(value).alias("_value"))
+        rows.select(*keys, bucket_of(F.col(value)).alias("_bucket"), F.col(value).alias("_value"))
+        .where(present)
         .groupBy(*keys, "_bucket", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )

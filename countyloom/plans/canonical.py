@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.functions import has_text, to_double, to_int
+from countyloom.functions import distinct_where, has_text, to_double, to_int
+from countyloom.operators.grouped import decode_keys, encode_keys
 from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ
 from countyloom.sources.files import raw_alias, read_era
 
@@ -94,21 +95,31 @@ def loan_years(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def year_summary(rows: DataFrame) -> DataFrame:
+def year_summary(rows: DataFrame, cells: DataFrame) -> DataFrame:
     """Per year: rows, distinct raw states, counties and lenders, and the amount.
 
-    Three different distinct counts over raw rows would copy every row three times before the shuffle.
-    Rows are therefore first reduced to distinct code tuples, with map-side combining.
+    Several distinct counts over loan rows would copy every row once per count. States and counties are counted
+    in the code cells instead, which leaves one distinct count for the pass over the rows.
     """
-    tuples = rows.groupBy("activity_year", "state_code", "county_code", "lender_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("loan_amount").alias("amount")
-    )
     state, county, lender = F.col("state_code"), F.col("county_code"), F.col("lender_id")
     both = has_text(state) & has_text(county)
-    return tuples.groupBy("activity_year").agg(
-        F.sum("n").alias("row_count"),
-        F.count_distinct(F.when(has_text(state), state)).alias("state_count"),
-        F.count_distinct(F.when(both, F.concat(state, F.lit("-"), county))).alias("county_count"),
-        F.count_distinct(F.when(has_text(lender), lender)).alias("lender_count"),
-        F.sum("amount").alias("total_loan_amount"),
+    places = (
+        encode_keys(cells, ["activity_year"])
+        .groupBy("activity_year")
+        .agg(
+            F.count_distinct(F.when(has_text(state), state)).alias("state_count"),
+            F.count_distinct(F.when(both, F.concat(state, F.lit("-"), county))).alias("county_count"),
+        )
+    )
+    loans = (
+        encode_keys(rows, ["activity_year"])
+        .groupBy("activity_year")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            distinct_where(lender, has_text(lender)).alias("lender_count"),
+            F.sum("loan_amount").alias("total_loan_amount"),
+        )
+    )
+    return decode_keys(loans.join(places, "activity_year"), ["activity_year"]).select(
+        "activity_year", "row_count", "state_count", "county_count", "lender_count", "total_loan_amount"
     )

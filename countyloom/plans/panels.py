@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from countyloom.functions import count_where, distinct_where, has_text, no_text, trimmed_in
 from countyloom.operators.checks import sums, totals_by_year
-from countyloom.operators.grouped import summarise
+from countyloom.operators.grouped import decode_keys, encode_keys, summarise
 from countyloom.sources.dimensions import APPLICATION_CODES, DENIED, ORIGINATED, PURCHASED
 
 COUNTY_KEYS = ["activity_year", "state_fips_2", "county_fips_5"]
@@ -215,18 +215,16 @@ def lender_panel_summary(lender: DataFrame) -> DataFrame:
 
 
 def lender_panel_by_year(lender: DataFrame) -> DataFrame:
-    """Year totals. Panel rows are reduced to one row per lender and county before the two distinct counts."""
-    pairs = lender.groupBy("activity_year", "county_fips_5", "lender_id").agg(
-        _rows().alias("n"), *[F.sum(c).alias(c) for c in LENDER_TOTALS]
+    """Year totals. Each distinct count has its own narrow pass over the panel, so no row is copied."""
+    year = ["activity_year"]
+    keyed = encode_keys(lender, year)
+    main = totals_by_year(
+        keyed,
+        {"lender_county_rows": _rows(), "county_count": F.count_distinct("county_fips_5"), **sums(*LENDER_TOTALS)},
     )
-    return totals_by_year(
-        pairs,
-        {
-            "lender_county_rows": F.sum("n"),
-            "county_count": F.count_distinct("county_fips_5"),
-            "lender_count": F.count_distinct("lender_id"),
-            **sums(*LENDER_TOTALS),
-        },
+    lenders = totals_by_year(keyed, {"lender_count": F.count_distinct("lender_id")})
+    return decode_keys(main.join(lenders, year), year).select(
+        *year, "lender_county_rows", "county_count", "lender_count", *LENDER_TOTALS
     )
 
 

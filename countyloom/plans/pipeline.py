@@ -24,12 +24,23 @@ from countyloom.streaming.arrivals import ingest, ledger_path
 class Run:
     """Views and tables of one annual dataset. Nothing is computed before it is asked for."""
 
-    def __init__(self, spark: SparkSession, annual_root: str, work_root: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        annual_root: str,
+        work_root: str | None = None,
+        sources: Sequence[AnnualSource] = (),
+    ):
         self.spark = spark
         self.annual_root = annual_root
         self.root = work_root or shared_folder(spark)
+        self.sources = list(sources)
         self._stored: dict[str, str] = {}
 
+    @property
+    def file_years(self) -> list[int]:
+        return [s.file_year for s in self.sources]
+
     # views
 
     @property
@@ -84,7 +95,7 @@ class Run:
 
     @property
     def year_summary(self) -> DataFrame:
-        return self.stored("year_summary", lambda: canonical.year_summary(self.loan_years))
+        return self.stored("year_summary", lambda: canonical.year_summary(self.loan_years, self.code_cells))
 
     # published files
 
@@ -111,8 +122,8 @@ class Run:
 def start(spark: SparkSession, sources: Sequence[AnnualSource], work_root: str | None = None) -> Run:
     """Ingest annual files and open a run over them."""
     root = work_root or shared_folder(spark)
-    run = Run(spark, f"{root}/annual", f"{root}/tables")
-    ledger = ingest(spark, sources, run.annual_root)
+    run = Run(spark, f"{root}/annual", f"{root}/tables", sources)
+    ledger = ingest(spark, run.sources, run.annual_root)
     broken = ledger.where(F.col("error").isNotNull()).select("year", "error").first()
     if broken is not None:
         raise RuntimeError(f"ingest of {broken['year']} failed: {broken['error']}")
@@ -122,8 +133,11 @@ def start(spark: SparkSession, sources: Sequence[AnnualSource], work_root: str |
 VOLATILE_LOG_KEYS = ("database_path", "started_at", "finished_at", "source_parquet_files")
 
 
-def build_log(run: Run, years: Sequence[int]) -> DataFrame:
-    """Key/value log of a build; lists are JSON text. The two totals come from the year summary."""
+def build_log(run: Run) -> DataFrame:
+    """Key/value log of a build, also stored with the run; lists are JSON text.
+
+    The two totals come from the year summary.
+    """
     started = datetime.now(timezone.utc).isoformat(timespec="seconds")
     totals = run.year_summary.agg(
         F.count(F.lit(1)).alias("years"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")
@@ -132,7 +146,7 @@ def build_log(run: Run, years: Sequence[int]) -> DataFrame:
         "database_path": run.root,
         "started_at": started,
         "finished_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
-        "years": json.dumps(list(years)),
+        "years": json.dumps(run.file_years),
         "source_parquet_files": json.dumps([r["parquet_output_path"] for r in run.ledger.collect()]),
         "objects_created": json.dumps(["loan_years", "column_metadata", "year_summary", "build_log"]),
         "loan_years_kind": "VIEW",
@@ -140,4 +154,6 @@ def build_log(run: Run, years: Sequence[int]) -> DataFrame:
         "year_summary_total_rows": str(totals["rows"]),
         "notes": json.dumps(["loan_years is a view over the annual dataset."]),
     }
-    return run.spark.createDataFrame(list(log.items()), KEY_VALUE)
+    frame = run.spark.createDataFrame(list(log.items()), KEY_VALUE)
+    frame.coalesce(1).write.mode("overwrite").json(f"{run.root}/build_log")
+    return frame

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from countyloom.functions import shown
+
 
 def county_rows(published: DataFrame) -> DataFrame:
     """Typed rows of the published county panel.
@@ -50,6 +52,14 @@ def by_year(rows: DataFrame) -> DataFrame:
     )
 
 
+def formatted_by_year(rows: DataFrame) -> DataFrame:
+    """The yearly profile as display text: separators in counts, three decimals in shares."""
+    table = by_year(rows)
+    return table.select(
+        "activity_year", *[shown(F.col(c), 3 if c.endswith("_share") else 0).alias(c) for c in table.columns[1:]]
+    ).orderBy("activity_year")
+
+
 def _top(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
     return rows.select(*columns).orderBy(*[F.col(c).desc() for c in columns]).limit(limit)
 

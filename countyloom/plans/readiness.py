@@ -88,7 +88,7 @@ def action_metadata_usage(metadata: DataFrame, rows: DataFrame) -> DataFrame:
     used = rows.groupBy("source_era", F.trim("action_taken").alias("action_taken")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    return F.broadcast(metadata).join(used, ["source_era", "action_taken"], "left").withColumn(
+    return metadata.join(used, ["source_era", "action_taken"], "left").withColumn(
         "row_count", F.coalesce("row_count", F.lit(0))
     )
 

@@ -1,4 +1,4 @@
-"""Every report by name, over a run whose annual files are derived from the test tables."""
+"""Every report by name, as a function of a run; and runs over annual files derived from the test tables."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from countyloom.sources.files import AnnualSource
 from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest, revalidate
 
-_open_runs: dict[tuple[str, str], tuple[Run, list[AnnualSource]]] = {}
+_open_runs: dict[tuple[str, str], Run] = {}
 
 
 def file_years(spark: SparkSession, sf_dir: str) -> list[int]:
@@ -28,10 +28,6 @@ def file_years(spark: SparkSession, sf_dir: str) -> list[int]:
     return [r[0] for r in orders.select(F.year("o_orderdate") + 20).distinct().orderBy(1).collect()]
 
 
-def _sources_of(run: Run) -> list[AnnualSource]:
-    return next(sources for known, sources in _open_runs.values() if known is run)
-
-
 def open_run(spark: SparkSession, sf_dir: str) -> Run:
     """Derive raw annual files from the test tables and ingest them, once per application and table folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -39,28 +35,24 @@ def open_run(spark: SparkSession, sf_dir: str) -> Run:
         root = shared_folder(spark)
         raw = write_raw_files(spark, sf_dir, f"{root}/raw")
         sources = [AnnualSource(y, f"{raw}/file_year={y}") for y in file_years(spark, sf_dir)]
-        _open_runs[key] = (start(spark, sources, root), sources)
-    return _open_runs[key][0]
-
-
-def _years(run: Run) -> list[int]:
-    return [s.file_year for s in _sources_of(run)]
+        _open_runs[key] = start(spark, sources, root)
+    return _open_runs[key]
 
 
 def _schema(run: Run) -> DataFrame:
-    return schema_rows(run.spark, run.annual_root, _years(run))
+    return schema_rows(run.spark, run.annual_root, run.file_years)
 
 
 def _ingest_incremental(run: Run) -> DataFrame:
     """Ingest the even years, then all years into the same dataset: the second ledger shows what was skipped."""
     root = f"{shared_folder(run.spark)}/annual"
-    sources = _sources_of(run)
+    sources = run.sources
     ingest(run.spark, [s for s in sources if s.file_year % 2 == 0], root)
     return ingest(run.spark, sources, root).select("year", "source_era", "conversion_status", "row_count")
 
 
 def _ingest_validation(run: Run) -> DataFrame:
-    return validation_report(revalidate(run.spark, _sources_of(run), run.annual_root))
+    return validation_report(revalidate(run.spark, run.sources, run.annual_root))
 
 
 def _objects(run: Run) -> DataFrame:
@@ -95,8 +87,8 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "ingest_validation": _ingest_validation,
     "loan_years": lambda r: r.loan_years,
     "column_metadata": lambda r: readiness.column_metadata_usage(column_metadata(r.spark), r.loan_years),
-    "year_summary": lambda r: canonical.year_summary(r.loan_years),
-    "build_log": lambda r: build_log(r, _years(r)).where(~F.col("key").isin(*VOLATILE_LOG_KEYS)),
+    "year_summary": lambda r: canonical.year_summary(r.loan_years, r.code_cells),
+    "build_log": lambda r: build_log(r).where(~F.col("key").isin(*VOLATILE_LOG_KEYS)),
     # geography
     "state_fips_crosswalk": lambda r: readiness.crosswalk_usage(state_crosswalk(r.spark), r.geo_cells),
     "loan_years_geo": lambda r: r.loan_years_geo,

@@ -18,7 +18,15 @@ from pyspark.sql import types as T
 from countyloom.schemas import INGEST_LEDGER, PREFIX_COLUMNS, era_of
 from countyloom.sources.dimensions import inline_table
 
-CSV_OPTIONS = {"header": True, "inferSchema": False, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+# `enforceSchema` off: every file's header is checked against the first one instead of being skipped unread.
+CSV_OPTIONS = {
+    "header": True,
+    "inferSchema": False,
+    "enforceSchema": False,
+    "quote": '"',
+    "escape": '"',
+    "mode": "FAILFAST",
+}
 
 
 @dataclass(frozen=True)

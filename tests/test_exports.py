@@ -76,6 +76,8 @@ def test_profile_of_an_older_layout(spark):
     assert (found[2010]["origination_share"], found[2010]["denial_share"], found[2010]["other_action_share"]) == (0.35, 0.075, 0.575)
     assert found[2010]["average_record_amount"] == 37 and found[2010]["median_lender_count"] == 8
     assert found[2011]["median_lender_count"] == 1
+    text = profile.formatted_by_year(rows).first()
+    assert (text["origination_share"], text["average_record_amount"]) == ("0.350", "37")
     assert [tuple(r) for r in profile.top_counties(rows, 2).collect()] == [(30, 2010, "06039", 9, 1, 8), (10, 2010, "06037", 5, 2, 3)]
 
 

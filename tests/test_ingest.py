@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from countyloom.plans.canonical import annual_rows, loan_years, with_prefix
 from countyloom.plans.pipeline import start
-from countyloom.plans.schema_audit import common_columns, era_only_columns
+from countyloom.plans.schema_audit import common_columns, era_only_columns, write_audit
 from countyloom.sources.catalog import schema_rows
 from countyloom.sources.files import AnnualSource, leaf, output_columns, read_ledger, read_raw, read_year
 from countyloom.streaming.arrivals import ingest, ledger_path, revalidate
@@ -163,7 +163,7 @@ def test_columns_may_come_in_another_order(spark, files):
     assert [(r["lender_id"], r["loan_amount"]) for r in rows] == [("LEI9", 7.0)]
 
 
-def test_schema_sets_over_both_layouts(spark, files):
+def test_schema_sets_over_both_layouts(spark, files, tmp_path):
     ingest(spark, [files(2016, pre_text(2016)), files(2017, pre_text(2017)), files(2018, post_text(2018))], files.root)
     schema = schema_rows(spark, files.root, [2016, 2017, 2018])
     pre, post = set(output_columns(PRE_HEADER.split(","))), set(output_columns(POST_HEADER.split(",")))
@@ -171,3 +171,18 @@ def test_schema_sets_over_both_layouts(spark, files):
     only = era_only_columns(schema)
     assert {r["column_name"] for r in only.where(F.col("source_era") == "pre_2018").collect()} == pre - post
     assert {r["column_name"] for r in only.where(F.col("source_era") == "post_2018").collect()} == post - pre
+    write_audit(spark, schema, read_ledger(spark, ledger_path(files.root)), str(tmp_path / "audit"))
+    summary = spark.read.json(str(tmp_path / "audit" / "ledger_summary")).first()
+    assert (summary["records"], summary["total_rows"], summary["statuses"]) == (3, 9, "converted")
+    race = spark.read.json(str(tmp_path / "audit" / "key_field_availability")).where("logical_field = 'race_fields'")
+    assert {(r["activity_year"], r["columns"]) for r in race.collect()} == {
+        (2016, "applicant_race_1"), (2017, "applicant_race_1"), (2018, "applicant_race-1")
+    }
+
+
+def test_columns_of_mixed_type_are_reported(spark):
+    from countyloom.plans.schema_audit import type_differences
+
+    rows = [(2017, "a", "int", True), (2018, "a", "string", True), (2019, "a", "string", True), (2018, "b", "int", True)]
+    schema = spark.createDataFrame(rows, "activity_year int, column_name string, column_type string, nullable boolean")
+    assert {tuple(r) for r in type_differences(schema).collect()} == {("a", "int", "2017"), ("a", "string", "2018,2019")}

@@ -113,6 +113,11 @@ def test_null_year_and_null_state_are_groups_of_their_own(spark):
         (2010, None, "06037", 8.0),
     }
     cells = code_cells(rows)
+    assert {tuple(r) for r in canonical.year_summary(rows, cells).collect()} == {(None, 1, 1, 1, 1, 4.0), (2010, 1, 0, 0, 1, 8.0)}
+    assert {tuple(r)[:4] for r in panels.lender_panel_by_year(panels.lender_county_year(loan_years_geo(rows, spark))).collect()} == {
+        (None, 1, 1, 1),
+        (2010, 1, 1, 1),
+    }
     assert [tuple(r) for r in quality.invalid_years(cells).collect()] == [(None, 1)]
 
 
@@ -125,7 +130,7 @@ def test_empty_input(spark):
     assert one(quality.lender_key_checks(lender))["null_activity_year"] is None
     assert one(geography_reports.validation_totals(normalize_codes(code_cells(rows), spark)))["row_count"] == 0
     assert one(quality.lender_duplicates(lender))["duplicate_grain_rows"] == 0
-    assert canonical.year_summary(rows).isEmpty()
+    assert canonical.year_summary(rows, code_cells(rows)).isEmpty()
 
 
 def test_action_counts_sort_numbers_before_text(spark):

@@ -67,12 +67,16 @@ def main() -> None:
     run = open_run(spark, sf_dir)
     timed("ingest_annual", lambda: ingest(spark, run.sources, f"{shared_folder(spark)}/annual"))
     timed("store_code_cells", lambda: run.code_cells)
+    timed("store_panel_rows", lambda: run.panel_rows)
     timed("store_county_panel", lambda: run.county_year_lending)
     timed("store_lender_panel", lambda: run.lender_county_year)
+    timed("store_exclusions", lambda: (run.county_missing_geo, run.lender_missing_geo, run.lender_missing_lender))
+    timed("publish_all", lambda: run.published("county_year_lending_csv"))
     for name in REPORT_JOBS:
         timed(name, lambda report=name: discard(REPORTS[report](run)))
     for export in exports.planned_exports(spark, run.county_year_lending, run.lender_county_year, f"{shared_folder(spark)}/published"):
         timed(f"write_{export.label}", lambda e=export: exports.run_export(spark, e))
+    county_rows = run.county_year_lending.count()
     rows = run.loan_years.count()
     lender_rows = run.lender_county_year.count()
     jobs = sum(v for k, v in seconds.items() if k != "open_run")
@@ -85,6 +89,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "loan_rows": rows,
+                "county_panel_rows": county_rows,
                 "lender_panel_rows": lender_rows,
             }
         )

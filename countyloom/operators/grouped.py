@@ -137,19 +137,27 @@ def summarise(
     medians: Mapping[str, str],
     cells: DataFrame | None = None,
     large_group: int = LARGE_GROUP,
+    apart: bool = False,
 ) -> DataFrame:
     """Group by `keys` with ordinary `measures` plus exact `medians` (result name → value column).
 
     Without large groups (see `large_groups` for `cells`) this is one aggregation. Otherwise measures keep their
     hash aggregate, medians are computed apart for ordinary and for large groups, and join back on the keys.
+
+    `apart` always computes medians in an aggregation of their own. Use it when a measure counts distinct
+    values: in one plan the median buffers would be shuffled per key and distinct value.
     """
     keys = list(keys)
     keyed = encode_keys(rows, keys)
     plain = [m.alias(n) for n, m in measures.items()]
     builtin = [F.median(value).alias(name) for name, value in medians.items()]
     large, n_large = large_groups(keyed, keys, large_group, cells)
-    if n_large == 0:
+    if n_large == 0 and not apart:
         return decode_keys(keyed.groupBy(*keys).agg(*plain, *builtin), keys)
+    base = keyed.groupBy(*keys).agg(*plain)
+    if n_large == 0:
+        # Both sides are already partitioned by the keys, so this join adds no shuffle.
+        return decode_keys(base.join(keyed.groupBy(*keys).agg(*builtin), keys), keys)
 
     large = _small(large, n_large)
     ordinary = keyed.join(large, keys, "left_anti").groupBy(*keys).agg(*builtin)
@@ -158,5 +166,5 @@ def summarise(
     for name, value in medians.items():
         one = grouped_median(in_large, keys, value, name)
         heavy = one if heavy is None else heavy.join(one, keys, "full")
-    out = keyed.groupBy(*keys).agg(*plain).join(ordinary.unionByName(heavy), keys, "left")
+    out = base.join(ordinary.unionByName(heavy), keys, "left")
     return decode_keys(out, keys)

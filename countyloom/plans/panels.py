@@ -10,6 +10,18 @@ from countyloom.operators.checks import sums, totals_by_year
 from countyloom.operators.grouped import decode_keys, encode_keys, summarise
 from countyloom.sources.dimensions import APPLICATION_CODES, DENIED, ORIGINATED, PURCHASED
 
+# Columns of a normalised loan row that the panels and exclusion tables read.
+ROW_COLUMNS = [
+    "activity_year",
+    "state_fips_2",
+    "county_fips_5",
+    "lender_id",
+    "lender_id_type",
+    "loan_amount",
+    "loan_type",
+    "loan_purpose",
+    "action_taken",
+]
 COUNTY_KEYS = ["activity_year", "state_fips_2", "county_fips_5"]
 LENDER_KEYS = [*COUNTY_KEYS, "lender_id"]
 
@@ -70,7 +82,7 @@ def county_year_lending(geo: DataFrame, cells: DataFrame | None = None) -> DataF
         **_amounts(),
         "lender_count": distinct_lenders(),
     }
-    out = summarise(_known(geo), COUNTY_KEYS, measures, MEDIANS, _known(cells))
+    out = summarise(_known(geo), COUNTY_KEYS, measures, MEDIANS, _known(cells), apart=True)
     return out.select(*[c for c in out.columns if c not in ("median_loan_amount", "lender_count")], "median_loan_amount", "lender_count")
 
 

@@ -73,25 +73,30 @@ class Run:
     def geo_cells(self) -> DataFrame:
         return normalize_codes(self.code_cells, self.spark)
 
+    @property
+    def panel_rows(self) -> DataFrame:
+        """Loan rows reduced to the columns that panels read, with geography; stored once for all of them."""
+        return self.stored("panel_rows", lambda: self.loan_years_geo.select(*panels.ROW_COLUMNS))
+
     @property
     def county_year_lending(self) -> DataFrame:
-        return self.stored("county_year_lending", lambda: panels.county_year_lending(self.loan_years_geo, self.geo_cells))
+        return self.stored("county_year_lending", lambda: panels.county_year_lending(self.panel_rows, self.geo_cells))
 
     @property
     def county_missing_geo(self) -> DataFrame:
-        return self.stored("county_missing_geo", lambda: panels.county_year_missing_geo(self.loan_years_geo))
+        return self.stored("county_missing_geo", lambda: panels.county_year_missing_geo(self.panel_rows))
 
     @property
     def lender_county_year(self) -> DataFrame:
-        return self.stored("lender_county_year", lambda: panels.lender_county_year(self.loan_years_geo, self.geo_cells))
+        return self.stored("lender_county_year", lambda: panels.lender_county_year(self.panel_rows, self.geo_cells))
 
     @property
     def lender_missing_lender(self) -> DataFrame:
-        return self.stored("lender_missing_lender", lambda: panels.lender_panel_missing_lender(self.loan_years_geo))
+        return self.stored("lender_missing_lender", lambda: panels.lender_panel_missing_lender(self.panel_rows))
 
     @property
     def lender_missing_geo(self) -> DataFrame:
-        return self.stored("lender_missing_geo", lambda: panels.lender_panel_missing_geo(self.loan_years_geo))
+        return self.stored("lender_missing_geo", lambda: panels.lender_panel_missing_geo(self.panel_rows))
 
     @property
     def year_summary(self) -> DataFrame:

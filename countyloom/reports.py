@@ -99,21 +99,21 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "geo_sample_mappings": lambda r: geography.sample_mappings(r.geo_cells),
     "geo_source_flags": lambda r: geography.source_flags(r.geo_cells),
     # panels and exclusion tables
-    "county_year_lending": lambda r: panels.county_year_lending(r.loan_years_geo, r.geo_cells),
-    "county_year_missing_geo_qa": lambda r: panels.county_year_missing_geo(r.loan_years_geo),
+    "county_year_lending": lambda r: panels.county_year_lending(r.panel_rows, r.geo_cells),
+    "county_year_missing_geo_qa": lambda r: panels.county_year_missing_geo(r.panel_rows),
     "action_taken_metadata": lambda r: readiness.action_metadata_usage(action_metadata(r.spark), r.loan_years),
     "county_panel_summary": lambda r: panels.county_panel_summary(r.county_year_lending),
     "county_panel_by_year": lambda r: panels.county_panel_by_year(r.county_year_lending),
     "county_panel_geo_consistency": lambda r: panels.county_panel_geo_consistency(r.county_year_lending),
-    "lender_county_year": lambda r: panels.lender_county_year(r.loan_years_geo, r.geo_cells),
-    "lender_panel_missing_lender_qa": lambda r: panels.lender_panel_missing_lender(r.loan_years_geo),
-    "lender_panel_missing_geo_qa": lambda r: panels.lender_panel_missing_geo(r.loan_years_geo),
+    "lender_county_year": lambda r: panels.lender_county_year(r.panel_rows, r.geo_cells),
+    "lender_panel_missing_lender_qa": lambda r: panels.lender_panel_missing_lender(r.panel_rows),
+    "lender_panel_missing_geo_qa": lambda r: panels.lender_panel_missing_geo(r.panel_rows),
     "lender_panel_summary": lambda r: panels.lender_panel_summary(r.lender_county_year),
     "lender_panel_by_year": lambda r: panels.lender_panel_by_year(r.lender_county_year),
     "lender_panel_key_checks": lambda r: quality.lender_key_checks(r.lender_county_year),
     "lender_panel_duplicates": lambda r: quality.lender_duplicates(r.lender_county_year),
     "lender_panel_reconciliation": lambda r: quality.lender_panel_reconciliation(
-        r.loan_years_geo, r.lender_county_year, r.lender_missing_lender, r.lender_missing_geo
+        r.panel_rows, r.lender_county_year, r.lender_missing_lender, r.lender_missing_geo
     ),
     "lender_panel_missing_lender_by_year": lambda r: panels.missing_lender_by_year(r.lender_missing_lender),
     # quality of the loan rows
@@ -131,10 +131,10 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "ready_county_nulls": lambda r: quality.county_key_nulls(r.county_year_lending),
     "ready_county_duplicates": lambda r: quality.county_duplicates(r.county_year_lending),
     "ready_reconciliation_by_year": lambda r: quality.county_reconciliation_by_year(
-        r.loan_years_geo, r.county_year_lending, r.county_missing_geo
+        r.panel_rows, r.county_year_lending, r.county_missing_geo
     ),
     "ready_reconciliation_total": lambda r: quality.county_reconciliation_total(
-        r.loan_years_geo, r.county_year_lending, r.county_missing_geo
+        r.panel_rows, r.county_year_lending, r.county_missing_geo
     ),
     "ready_lender_coverage": lambda r: readiness.lender_coverage(r.loan_years),
     "ready_lender_id_types": lambda r: readiness.lender_id_types(r.loan_years),

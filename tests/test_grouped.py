@@ -39,10 +39,10 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("limit", [0, 1, 500, 10**9])
-def test_every_route_gives_the_same_exact_medians(spark, skewed, limit):
+@pytest.mark.parametrize("limit, apart", [(0, False), (1, False), (500, True), (10**9, False), (10**9, True)])
+def test_every_route_gives_the_same_exact_medians(spark, skewed, limit, apart):
     frame = spark.createDataFrame(skewed, "activity_year int, county string, amount double")
-    out = summarise(frame, KEYS, {"n": F.count(F.lit(1))}, {"mid": "amount"}, large_group=limit)
+    out = summarise(frame, KEYS, {"n": F.count(F.lit(1))}, {"mid": "amount"}, large_group=limit, apart=apart)
     found = {(r["activity_year"], r["county"]): (r["n"], r["mid"]) for r in out.collect()}
     wanted = expected(skewed)
     assert found.keys() == wanted.keys()

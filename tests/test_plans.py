@@ -10,6 +10,11 @@ from countyloom.operators.grouped import LARGE_GROUP
 from countyloom.plans import canonical, panels
 
 
+@pytest.fixture(autouse=True)
+def whole_plan_strings(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+
+
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -42,12 +47,26 @@ def test_county_panel_needs_no_expand(run):
     assert "Expand" not in plan(panels.county_year_lending(run.loan_years_geo, run.geo_cells))
 
 
-def test_ordinary_panels_are_one_aggregation(run):
-    """Without a large group nothing is joined beyond the two crosswalk lookups."""
+def test_ordinary_lender_panel_is_one_aggregation(run):
+    """No join and one shuffle, on stored rows that need no lookups."""
     assert run.county_year_lending.agg(F.max("total_records")).first()[0] < LARGE_GROUP
-    for panel in (panels.county_year_lending, panels.lender_county_year):
-        text = plan(panel(run.loan_years_geo, run.geo_cells))
-        assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+    text = plan(panels.lender_county_year(run.panel_rows, run.geo_cells))
+    assert "Join" not in text and text.count("FileScan parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 1
+    assert read_columns(text) == set(panels.ROW_COLUMNS)
+
+
+def test_county_panel_shuffles_medians_once(run):
+    """Two shuffles for the distinct lenders, one for the medians; the join reuses their partitioning."""
+    text = plan(panels.county_year_lending(run.panel_rows, run.geo_cells))
+    assert text.count("Exchange hashpartitioning") == 3
+    assert text.count("ObjectHashAggregate") == 2 and "SortAggregate" not in text
+
+
+def test_exclusion_tables_push_their_filter(run):
+    text = plan(panels.county_year_missing_geo(run.panel_rows))
+    assert "PushedFilters: [IsNull(county_fips_5)]" in text
+    assert read_columns(text) == {"activity_year", "state_fips_2", "county_fips_5", "lender_id", "loan_amount"}
 
 
 def test_geography_checks_read_code_cells(run):

@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.llm import quality, sharding, toxicity
+from countyloom.llm import mixing, packing, quality, secret_scan, sharding, toxicity, url_cascade
 from countyloom.llm.common import held_out, table
 
 SHARDS = 8
+RULES = [
+    url_cascade.Rule("allow", "com", "/"),
+    url_cascade.Rule("block", "example.com", "/en/"),
+    url_cascade.Rule("allow", "www.example.com", "/en/"),
+    url_cascade.Rule("block", "net", "/es/"),
+    url_cascade.Rule("block", "net", "/fr/"),
+]
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,12 +31,30 @@ def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), leaves, sharding.grow(leaves))
 
 
+def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_cascade.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def op4_pfair_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return mixing.mix_sources(docs, mixing.tempered()).drop("n_chars")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.digest(secret_scan.scan(docs, secret_scan.train(docs)))
+
+
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, labels))
@@ -32,10 +63,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_shards": op1_hash_tree_shards,
+    "op3_url_cascade": op3_url_cascade,
+    "op4_pfair_mixture": op4_pfair_mixture,
     "op7_toxicity": op7_toxicity,
+    "op8_markov_secrets": op8_markov_secrets,
+    "op9_vector_packing": op9_vector_packing,
     "op10_quality": op10_quality,
 }
 
 
+_OP3 = """
+WITH cut AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+parts AS (
+  SELECT rid, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM hosts
+), rules(verdict, h, p) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+)
+SELECT page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(h || p) DESC) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_cascade": _OP3}

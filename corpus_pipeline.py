@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countyloom.llm import quality
+from countyloom.llm import jaccard_join, mixing, packing, quality, secret_scan
 from countyloom.llm.common import shared_folder, table
+from countyloom.llm.queries import tokenizer_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +15,33 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).where("predicted = 1").select(docs.columns)
 
 
-STAGES = [("quality", keep_good)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose word 5-grams link at 0.75 or more."""
+    return jaccard_join.keep_one(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets replaced."""
+    return secret_scan.redacted(docs, secret_scan.train(docs))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which blocks of the sources interleave to their target weights."""
+    return mixing.mixed_order(docs, mixing.tempered())
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, packed into sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", hide_secrets),
+    ("mixture", mix),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 

@@ -84,9 +84,10 @@ def pieces_of(docs: DataFrame, tokenizer: str, most: int) -> DataFrame:
             made.insert(0, "doc_id", frame["doc_id"].array.take(made.pop("k").to_numpy(np.int64)))
             yield made
 
-    plain = docs.select("doc_id", "text")
-    kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    kind = docs.schema["doc_id"].dataType
+    named = docs.select(F.col("doc_id").cast("string"), "text")  # as text, so that pandas keeps long ids beside nulls
+    pieces = named.mapInPandas(cut, "doc_id string, piece int, start long, length long, ids_crc32 long")
+    return pieces.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def best_fit(lengths: np.ndarray, caps: Capacities) -> tuple[np.ndarray, np.ndarray]:
@@ -135,8 +136,6 @@ def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities()) -> Da
     whole = pieces.where(F.col("length") == caps.tokens)
     rest = pieces.where(F.col("length") < caps.tokens)
     groups = max(1, -(-rest.count() // caps.group))
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "_row"], ascending=[False, True])
         bins, offsets = best_fit(frame["length"].to_numpy(np.int64), caps)
@@ -144,7 +143,9 @@ def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities()) -> Da
         frame["offset"] = offsets
         return frame[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    dealt = rest.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
+    kind = docs.schema["doc_id"].dataType
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    dealt = rest.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
     alone = whole.select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return alone.unionByName(dealt.groupBy("_group").applyInPandas(packed, schema))
+    filled = dealt.groupBy("_group").applyInPandas(packed, schema)
+    return alone.unionByName(filled.withColumn("doc_id", F.col("doc_id").cast(kind)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.llm import mixing, packing, quality, secret_scan, sharding, toxicity, url_cascade
+from countyloom.llm import jaccard_join, mixing, packing, quality, secret_scan, sharding, toxicity, url_cascade
 from countyloom.llm.common import held_out, table
 
 SHARDS = 8
@@ -40,6 +40,10 @@ def op4_pfair_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs, mixing.tempered()).drop("n_chars")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents")).drop("class")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels))
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_shards": op1_hash_tree_shards,
     "op3_url_cascade": op3_url_cascade,
     "op4_pfair_mixture": op4_pfair_mixture,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_markov_secrets": op8_markov_secrets,
     "op9_vector_packing": op9_vector_packing,

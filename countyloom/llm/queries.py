@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.llm import jaccard_join, mixing, packing, quality, secret_scan, sharding, toxicity, url_cascade
+from countyloom.llm import (
+    ann_forest,
+    jaccard_join,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    toxicity,
+    url_cascade,
+    vector_dedup,
+)
 from countyloom.llm.common import held_out, table
 
 SHARDS = 8
@@ -31,6 +42,10 @@ def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), leaves, sharding.grow(leaves))
 
 
+def op2_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judge(table(spark, sf_dir, "pages"), RULES)
 
@@ -44,6 +59,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents")).drop("class")
 
 
+def op6_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels))
@@ -67,9 +86,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_shards": op1_hash_tree_shards,
+    "op2_hash_forest": op2_hash_forest,
     "op3_url_cascade": op3_url_cascade,
     "op4_pfair_mixture": op4_pfair_mixture,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_sorted_passes": op6_sorted_passes,
     "op7_toxicity": op7_toxicity,
     "op8_markov_secrets": op8_markov_secrets,
     "op9_vector_packing": op9_vector_packing,

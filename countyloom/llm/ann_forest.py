@@ -17,13 +17,15 @@ from countyloom.llm.vectors import matrix, usable
 class Settings:
     """Each block of about `block_rows` vectors has a forest of its own, of `trees` sorted arrays of `bits`-bit strings.
 
-    A query ascends until its ranges in a block's trees hold `share` of the block's rows in all, repeats counted.
+    A query ascends until its ranges in a block's trees hold `share` of the block's rows in all, repeats counted, and
+    `least` rows at least.
     """
 
     neighbours: int = 10
     trees: int = 64
     bits: int = 32
     share: float = 1.0
+    least: int = 4096
     block_rows: int = 8192
     query_rows: int = 2048
     seed: int = 5
@@ -60,7 +62,8 @@ class Forest:
                 first = (own >> rest) << rest
                 low[length, tree] = np.searchsorted(sorted_, first)
                 high[length, tree] = np.searchsorted(sorted_, first + (np.uint64(1) << rest) - np.uint64(1), side="right")
-        enough = (high - low).sum(axis=1) >= self.settings.share * len(self.rows)
+        wanted = min(max(self.settings.share * len(self.rows), self.settings.least), len(self.planes) * len(self.rows))
+        enough = (high - low).sum(axis=1) >= wanted
         depth = bits - np.argmax(enough[::-1], axis=0)
         for q, d in enumerate(depth):
             found = np.zeros(len(self.rows), bool)

@@ -161,13 +161,11 @@ def redacted(docs: DataFrame, ratios: list[float] | None, settings: Settings = S
             F.greatest(done["at"], span["end"]).alias("at"), F.when(span["start"] >= done["at"], next_).otherwise(done["text"]).alias("text")
         )
 
-    scanned = scan(docs, ratios, settings)
+    # The row travels as one value, so that none of its names can clash.
+    scanned = scan(docs.select(F.struct(*docs.columns).alias("_row"), "text"), ratios, settings)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
     rest = lambda d: F.concat(d["text"], F.substring(F.col("text"), d["at"] + 1, F.length("text")))
-    text = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(F.col("text"))
-    changed = scanned.withColumn("_clean", text)
-    columns = [F.col("_clean").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    if "n_chars" in docs.columns:
-        length = F.when(F.size("_spans") > 0, F.length("_clean").cast("long")).otherwise(F.col("n_chars"))
-        columns = [length.alias("n_chars") if c == "n_chars" else x for c, x in zip(docs.columns, columns, strict=True)]
-    return changed.select(*columns)
+    found = F.size("_spans") > 0
+    changed = scanned.withColumn("_clean", F.when(found, F.aggregate("_spans", start, step, rest)).otherwise(F.col("text")))
+    new = {"text": F.col("_clean"), "n_chars": F.when(found, F.length("_clean").cast("long")).otherwise(F.col("_row").getField("n_chars"))}
+    return changed.select(*[(new[c] if c in new else F.col("_row").getField(c)).alias(c) for c in docs.columns])

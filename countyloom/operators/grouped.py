@@ -10,7 +10,6 @@ ordered, so no task sees a whole group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,20 +26,20 @@ BROADCAST_KEYS = 20_000
 # 1,500 buckets, and the whole double range 91,000.
 BUCKETS_PER_E = 64
 
-# Stand-ins for null group keys, so that joins on keys stay plain equi-joins. Neither can occur: text keys come
-# from parsed files, and years are four digits.
-NULL_KEYS = {"string": "\u0000", "int": -(2**31), "bigint": -(2**63)}
+# Group keys travel as one struct: a struct with null fields is a value like any other, equal to itself, so nulls group and
+# join like the rest, and plans keep plain equi-joins that reuse the grouping's partitions.
+KEY = "_key"
 
 
-def encode_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Replace null keys by a stand-in of the same type."""
-    types = dict(rows.dtypes)
-    return rows.withColumns({k: F.coalesce(k, F.lit(NULL_KEYS[types[k]]).cast(types[k])) for k in keys})
+def with_key(rows: DataFrame, keys: Sequence[str], name: str = KEY) -> DataFrame:
+    """`rows` with its keys as one struct beside them."""
+    return rows.withColumn(name, F.struct(*[F.col(k) for k in keys]))
 
 
-def decode_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    types = dict(rows.dtypes)
-    return rows.withColumns({k: F.nullif(F.col(k), F.lit(NULL_KEYS[types[k]]).cast(types[k])) for k in keys})
+def unpacked(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key's fields as columns again, in front of the others."""
+    others = [c for c in rows.columns if c != KEY]
+    return rows.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], *others)
 
 
 def bucket_of(value: Column) -> Column:
@@ -50,25 +49,24 @@ def bucket_of(value: Column) -> Column:
 
 
 def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Exact median of `value` per group by histogram, as (keys..., name). Keys must not be null.
+    """Exact median of `value` per group by histogram, as (keys..., name); null keys are keys.
 
     Groups without a value do not appear.
     """
-    keys = list(keys)
-    # The null tests repeat what the join below implies. Written here, they hold for both uses of the counts,
-    # which keeps the two plans equal and lets the second use read the first one's shuffle.
-    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, "_bucket", "_value")])
+    return unpacked(_median_by_key(with_key(rows, keys), value, name), keys)
+
+
+def _median_by_key(rows: DataFrame, value: str, name: str) -> DataFrame:
     counts = (
-        rows.select(*keys, bucket_of(F.col(value)).alias("_bucket"), F.col(value).alias("_value"))
-        .where(present)
-        .groupBy(*keys, "_bucket", "_value")
+        rows.select(KEY, bucket_of(F.col(value)).alias("_bucket"), F.col(value).alias("_value"))
+        .where(F.col("_bucket").isNotNull() & F.col("_value").isNotNull())
+        .groupBy(KEY, "_bucket", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-
-    in_group = Window.partitionBy(*keys)
+    in_group = Window.partitionBy(KEY)
     total, upto = F.col("_total"), F.col("_upto")
     middle = (
-        counts.groupBy(*keys, "_bucket")
+        counts.groupBy(KEY, "_bucket")
         .agg(F.sum("_n").alias("_in_bucket"))
         .withColumns(
             {
@@ -84,35 +82,40 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str)
             }
         )
         .where((upto >= F.col("_low")) & (F.col("_before") < F.col("_high")))
-        .select(*keys, "_bucket", "_before", "_low", "_high")
+        .select(KEY, "_bucket", "_before", "_low", "_high")
     )
 
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    in_bucket = Window.partitionBy(KEY, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     low, high = F.min("_value").cast("double"), F.max("_value").cast("double")
     return (
-        counts.join(middle, [*keys, "_bucket"])
+        counts.join(middle, [KEY, "_bucket"])
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_bucket))
         .where((upto >= F.col("_low")) & (upto - F.col("_n") < F.col("_high")))
-        .groupBy(*keys)
-        .agg(F.when(low == high, low).otherwise(low + (high - low) / 2).alias(name))
+        .groupBy(KEY)
+        .agg(halfway(low, high).alias(name))
     )
 
 
-def _above(sizes: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int]:
+def halfway(low: Column, high: Column) -> Column:
+    """The middle of the two middle values, by the formula of the built-in median, so that both routes give the same number."""
+    return F.when(low == high, low).otherwise(low * 0.5 + high * 0.5)
+
+
+def _above(sizes: DataFrame, limit: int) -> tuple[DataFrame, int]:
     """Keys whose `_n` adds up to more than `limit`, checkpointed so that no later plan counts again."""
-    found = sizes.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > limit).select(*keys).checkpoint()
+    found = sizes.groupBy(KEY).agg(F.sum("_n").alias("_n")).where(F.col("_n") > limit).select(KEY).checkpoint()
     return found, found.count()
 
 
 def _small(keys: DataFrame, n: int) -> DataFrame:
-    """Broadcast a key list whose length is known and short; leave a longer one to the optimizer."""
+    """Broadcast a key list whose length is known and short; leave a longer one to the optimizer. The rows are the same."""
     return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
 
 
 def large_groups(
     rows: DataFrame, keys: Sequence[str], limit: int, cells: DataFrame | None = None
 ) -> tuple[DataFrame, int]:
-    """Keys of the groups with more than `limit` rows, and how many there are. Runs a counting job.
+    """Key structs of the groups with more than `limit` rows, and how many there are. Runs a counting job.
 
     `cells` are rows counted beforehand (`row_count`) at any grain that holds some of the keys. A group cannot be
     larger than the coarser group around it, so cells often settle the question without reading rows, and
@@ -122,12 +125,12 @@ def large_groups(
     keys = list(keys)
     if cells is not None:
         coarse = [k for k in keys if k in cells.columns]
-        sized = encode_keys(cells, coarse).withColumn("_n", F.col("row_count"))
-        around, n = _above(sized, coarse, limit)
+        around, n = _above(with_key(cells, coarse).withColumn("_n", F.col("row_count")), limit)
         if n == 0 or coarse == keys:
             return around, n
-        rows = rows.join(_small(around, n), coarse, "left_semi")
-    return _above(rows.withColumn("_n", F.lit(1)), keys, limit)
+        around = _small(around.withColumnRenamed(KEY, "_coarse"), n)
+        rows = with_key(rows, coarse, "_coarse").join(around, "_coarse", "left_semi")
+    return _above(with_key(rows, keys).withColumn("_n", F.lit(1)), limit)
 
 
 def summarise(
@@ -148,23 +151,22 @@ def summarise(
     values: in one plan the median buffers would be shuffled per key and distinct value.
     """
     keys = list(keys)
-    keyed = encode_keys(rows, keys)
+    keyed = with_key(rows, keys)
     plain = [m.alias(n) for n, m in measures.items()]
     builtin = [F.median(value).alias(name) for name, value in medians.items()]
-    large, n_large = large_groups(keyed, keys, large_group, cells)
+    large, n_large = large_groups(rows, keys, large_group, cells)
     if n_large == 0 and not apart:
-        return decode_keys(keyed.groupBy(*keys).agg(*plain, *builtin), keys)
-    base = keyed.groupBy(*keys).agg(*plain)
+        return unpacked(keyed.groupBy(KEY).agg(*plain, *builtin), keys)
+    base = keyed.groupBy(KEY).agg(*plain)
     if n_large == 0:
         # Both sides are already partitioned by the keys, so this join adds no shuffle.
-        return decode_keys(base.join(keyed.groupBy(*keys).agg(*builtin), keys), keys)
+        return unpacked(base.join(keyed.groupBy(KEY).agg(*builtin), KEY), keys)
 
     large = _small(large, n_large)
-    ordinary = keyed.join(large, keys, "left_anti").groupBy(*keys).agg(*builtin)
+    ordinary = keyed.join(large, KEY, "left_anti").groupBy(KEY).agg(*builtin)
+    in_large = keyed.join(large, KEY, "left_semi")
     heavy = None
-    in_large = keyed.join(large, keys, "left_semi")
     for name, value in medians.items():
-        one = grouped_median(in_large, keys, value, name)
-        heavy = one if heavy is None else heavy.join(one, keys, "full")
-    out = base.join(ordinary.unionByName(heavy), keys, "left")
-    return decode_keys(out, keys)
+        one = _median_by_key(in_large, value, name)
+        heavy = one if heavy is None else heavy.join(one, KEY, "full")
+    return unpacked(base.join(ordinary.unionByName(heavy), KEY, "left"), keys)

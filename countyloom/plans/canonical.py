@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countyloom.functions import distinct_where, has_text, to_double, to_int
-from countyloom.operators.grouped import decode_keys, encode_keys
+from countyloom.operators.grouped import KEY, unpacked, with_key
 from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ
 from countyloom.sources.files import raw_alias, read_era
 
@@ -104,22 +104,22 @@ def year_summary(rows: DataFrame, cells: DataFrame) -> DataFrame:
     state, county, lender = F.col("state_code"), F.col("county_code"), F.col("lender_id")
     both = has_text(state) & has_text(county)
     places = (
-        encode_keys(cells, ["activity_year"])
-        .groupBy("activity_year")
+        with_key(cells, ["activity_year"])
+        .groupBy(KEY)
         .agg(
             F.count_distinct(F.when(has_text(state), state)).alias("state_count"),
             F.count_distinct(F.when(both, F.concat(state, F.lit("-"), county))).alias("county_count"),
         )
     )
     loans = (
-        encode_keys(rows, ["activity_year"])
-        .groupBy("activity_year")
+        with_key(rows, ["activity_year"])
+        .groupBy(KEY)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
             distinct_where(lender, has_text(lender)).alias("lender_count"),
             F.sum("loan_amount").alias("total_loan_amount"),
         )
     )
-    return decode_keys(loans.join(places, "activity_year"), ["activity_year"]).select(
+    return unpacked(loans.join(places, KEY), ["activity_year"]).select(
         "activity_year", "row_count", "state_count", "county_count", "lender_count", "total_loan_amount"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from countyloom.functions import count_where, distinct_where, has_text, no_text, trimmed_in
 from countyloom.operators.checks import sums, totals_by_year
-from countyloom.operators.grouped import decode_keys, encode_keys, summarise
+from countyloom.operators.grouped import KEY, summarise, unpacked, with_key
 from countyloom.sources.dimensions import APPLICATION_CODES, DENIED, ORIGINATED, PURCHASED
 
 # Columns of a normalised loan row that the panels and exclusion tables read.
@@ -228,15 +228,15 @@ def lender_panel_summary(lender: DataFrame) -> DataFrame:
 
 def lender_panel_by_year(lender: DataFrame) -> DataFrame:
     """Year totals. Each distinct count has its own narrow pass over the panel, so no row is copied."""
-    year = ["activity_year"]
-    keyed = encode_keys(lender, year)
-    main = totals_by_year(
-        keyed,
-        {"lender_county_rows": _rows(), "county_count": F.count_distinct("county_fips_5"), **sums(*LENDER_TOTALS)},
+    years = with_key(lender, ["activity_year"]).groupBy(KEY)
+    main = years.agg(
+        _rows().alias("lender_county_rows"),
+        F.count_distinct("county_fips_5").alias("county_count"),
+        *[m.alias(n) for n, m in sums(*LENDER_TOTALS).items()],
     )
-    lenders = totals_by_year(keyed, {"lender_count": F.count_distinct("lender_id")})
-    return decode_keys(main.join(lenders, year), year).select(
-        *year, "lender_county_rows", "county_count", "lender_count", *LENDER_TOTALS
+    lenders = years.agg(F.count_distinct("lender_id").alias("lender_count"))
+    return unpacked(main.join(lenders, KEY), ["activity_year"]).select(
+        "activity_year", "lender_county_rows", "county_count", "lender_count", *LENDER_TOTALS
     )
 
 

@@ -81,3 +81,31 @@ def test_large_groups_are_not_collected_into_one_row_buffer(spark, skewed):
     plan = grouped_median(frame.na.fill(0, ["activity_year"]), KEYS, "amount", "m")._jdf.queryExecution().toString()
     assert "ObjectHashAggregate" not in plan
     assert "collect_list" not in plan
+
+
+def test_odd_keys_stay_apart_from_null(spark):
+    """Values that look like stand-ins for null are groups of their own, on every route."""
+    rows = [(None, "\u0000", 1.0), (-(2**31), None, 2.0), (None, None, 3.0), (-(2**31), "\u0000", 4.0), (None, None, 5.0)]
+    frame = spark.createDataFrame(rows, "activity_year int, county string, amount double")
+    for limit, apart in ((0, False), (1, False), (10**9, False), (10**9, True)):
+        out = summarise(frame, KEYS, {"n": F.count(F.lit(1))}, {"mid": "amount"}, large_group=limit, apart=apart)
+        found = {(r["activity_year"], r["county"]): (r["n"], r["mid"]) for r in out.collect()}
+        assert found == {
+            (None, "\u0000"): (1, 1.0), (-(2**31), None): (1, 2.0), (None, None): (2, 4.0), (-(2**31), "\u0000"): (1, 4.0)
+        }
+
+
+def test_both_routes_agree_on_extreme_values(spark):
+    pairs = [(-1.5e308, 1.5e308), (1e308, 1.7e308), (math.inf, -math.inf), (math.nan, 1.0), (0.1, 0.2), (-5e-324, 5e-324), (1e16, 1e16 + 2)]
+    frame = spark.createDataFrame([(i, v) for i, pair in enumerate(pairs) for v in pair], "k int, v double")
+    routes = [
+        {r["k"]: repr(r["m"]) for r in summarise(frame, ["k"], {"n": F.count(F.lit(1))}, {"m": "v"}, large_group=limit).collect()}
+        for limit in (0, 10**9)
+    ]
+    assert routes[0] == routes[1]
+
+
+def test_large_route_joins_on_equal_keys(spark, skewed):
+    frame = spark.createDataFrame(skewed, "activity_year int, county string, amount double")
+    plan = summarise(frame, KEYS, {"n": F.count(F.lit(1))}, {"mid": "amount"}, large_group=500)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -10,5 +10,6 @@ from countyloom.functions.columns import (  # noqa: F401
     text_or_null,
     to_double,
     to_int,
+    trimmed,
     trimmed_in,
 )

@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 # Fixed value: the number spellings accepted from text. Java's parser also takes suffixes ("5d") and
 # hexadecimal floats, which are not numbers in the source files.
 NUMBER_PATTERN = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity|nan)"
+HEX_PATTERN = r"0[xX][0-9a-fA-F]+"
+BINARY_PATTERN = r"0[bB][01]+"
+
+# Fixed value: what is trimmed around codes: the space and the other Unicode space separators.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
+def trimmed(c: Column | str) -> Column:
+    """Without space separators at either end; tabs and line breaks stay."""
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(SPACES))
 
 
 def full_match(c: Column, pattern: str) -> Column:
@@ -21,41 +31,48 @@ def full_match(c: Column, pattern: str) -> Column:
 
 def has_text(c: Column) -> Column:
     """Not null and not blank after trimming; never null itself."""
-    return c.isNotNull() & (F.trim(c) != F.lit(""))
+    return c.isNotNull() & (trimmed(c) != F.lit(""))
 
 
 def no_text(c: Column) -> Column:
     """Exact complement of `has_text`."""
-    return c.isNull() | (F.trim(c) == F.lit(""))
+    return c.isNull() | (trimmed(c) == F.lit(""))
 
 
 def text_or_null(c: Column) -> Column:
-    return F.nullif(F.trim(c), F.lit(""))
+    return F.nullif(trimmed(c), F.lit(""))
 
 
 def missing_or_na(c: Column) -> Column:
     """Null, blank, or the letters NA in any case."""
-    return c.isNull() | F.upper(F.trim(c)).isin("", "NA")
+    return c.isNull() | F.upper(trimmed(c)).isin("", "NA")
 
 
 def trimmed_in(c: Column, *codes: str) -> Column:
     """Trimmed value is one of the codes; null input gives null."""
-    return F.trim(c).isin(*codes)
+    return trimmed(c).isin(*codes)
 
 
-def _number(c: Column) -> Column:
-    t = F.trim(c)
-    return F.when(full_match(t, NUMBER_PATTERN), t.try_cast("double"))
+def _spelling(c: Column, digit: str = "[0-9]") -> Column:
+    """A number's text without spaces around it and without single underscores between its digits."""
+    return F.regexp_replace(F.trim(c), f"(?<={digit})_(?={digit})", "")
 
 
 def to_double(c: Column) -> Column:
-    """Text to DOUBLE; blanks and anything that is not a number give null."""
-    return _number(c)
+    """Text to DOUBLE; blanks and anything that is not a decimal number give null."""
+    text = _spelling(c)
+    return F.when(full_match(text, NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_int(c: Column) -> Column:
-    """Text to INT, rounding fractions half away from zero; out of range or not a number gives null."""
-    return F.round(_number(c)).try_cast("int")
+    """Text to INT, rounding fractions half away from zero; 0x and 0b start other bases. Out of range or no number: null."""
+    text = _spelling(c, "[0-9a-fA-F]")
+    digits = F.substring(text, 3, 64)
+    return (
+        F.when(full_match(text, HEX_PATTERN), F.conv(digits, 16, 10).try_cast("int"))
+        .when(full_match(text, BINARY_PATTERN), F.conv(digits, 2, 10).try_cast("int"))
+        .otherwise(F.round(to_double(c)).try_cast("int"))
+    )
 
 
 def sum_where(weight: Column, predicate: Column) -> Column:

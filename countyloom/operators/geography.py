@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.functions import full_match
+from countyloom.functions import full_match, trimmed
 from countyloom.schemas import POST_2018
 from countyloom.sources.dimensions import state_crosswalk
 
@@ -32,7 +32,7 @@ def normalize_codes(rows: DataFrame, spark: SparkSession) -> DataFrame:
 
     state, county = F.col("_state"), F.col("_county")
     cleaned = rows.withColumns(
-        {"_state": F.upper(F.trim("state_code")), "_county": F.upper(F.trim("county_code"))}
+        {"_state": F.upper(trimmed("state_code")), "_county": F.upper(trimmed("county_code"))}
     ).join(by_abbr, F.col("_state") == F.col("_abbr"), "left")
     width = F.length(county)
     classified = cleaned.withColumns(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from countyloom.functions import distinct_where, has_text, to_double, to_int
 from countyloom.operators.grouped import KEY, unpacked, with_key
-from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ
-from countyloom.sources.files import raw_alias, read_era
+from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ, PREFIX_COLUMNS
+from countyloom.sources.files import read_era
 
 # Where each layout keeps the fields that were renamed in 2018, and the raw fields kept as JSON.
 LAYOUTS = {
@@ -55,7 +55,7 @@ def with_prefix(raw: DataFrame, era: str) -> DataFrame:
         to_int(_named(layout["year"])).alias("activity_year"),
         F.lit(era).alias("source_era"),
         _named(layout["lender"]).alias("lei_or_respondent_id"),
-        *[_named(c).alias(raw_alias(c)) for c in raw.columns],
+        *[_named(c).alias(f"raw_{c}") if c in PREFIX_COLUMNS else _named(c) for c in raw.columns],
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countyloom.functions import full_match, has_text, missing_or_na, sum_where
+from countyloom.functions import full_match, has_text, missing_or_na, sum_where, trimmed
 from countyloom.operators.geography import GEO_COLUMNS
 
 
@@ -19,7 +19,7 @@ def _rows_where(predicate: Column) -> Column:
 def raw_formats(cells: DataFrame) -> DataFrame:
     """Code formats per year and era. Codes are trimmed but not upper-cased here."""
     state, county = F.col("state_code"), F.col("county_code")
-    s, c = F.trim(state), F.trim(county)
+    s, c = trimmed(state), trimmed(county)
     return cells.groupBy("activity_year", "source_era").agg(
         F.sum("row_count").alias("row_count"),
         F.count_distinct(F.when(has_text(state), state)).alias("distinct_state_values"),

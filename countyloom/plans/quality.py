@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countyloom.functions import count_where, full_match, has_text, no_text, sum_where
+from countyloom.functions import count_where, full_match, has_text, no_text, sum_where, trimmed
 from countyloom.operators.checks import duplicate_grain, null_counts, ranked_values, totals_by_year
 from countyloom.plans.panels import COUNTY_KEYS, LENDER_KEYS
 from countyloom.schemas import FIRST_YEAR, LAST_YEAR
@@ -75,7 +75,7 @@ def _other_format(column: str, *patterns: str) -> Column:
     c = F.col(column)
     known = None
     for p in patterns:
-        match = full_match(F.trim(c), p)
+        match = full_match(trimmed(c), p)
         known = match if known is None else known | match
     return has_text(c) & ~known
 
@@ -86,12 +86,12 @@ STATE_FORMATS = ("[0-9]{2}", "[A-Z]{2}")
 
 def county_patterns(cells: DataFrame) -> DataFrame:
     county, n = F.col("county_code"), F.col("row_count")
-    length = F.when(has_text(county), F.length(F.trim(county)))
+    length = F.when(has_text(county), F.length(trimmed(county)))
     return cells.groupBy("activity_year", "source_era").agg(
         F.sum(n).alias("row_count"),
         sum_where(n, no_text(county)).alias("missing_county_code"),
-        sum_where(n, full_match(F.trim(county), COUNTY_FORMATS[0])).alias("county_3_digit"),
-        sum_where(n, full_match(F.trim(county), COUNTY_FORMATS[1])).alias("county_5_digit"),
+        sum_where(n, full_match(trimmed(county), COUNTY_FORMATS[0])).alias("county_3_digit"),
+        sum_where(n, full_match(trimmed(county), COUNTY_FORMATS[1])).alias("county_5_digit"),
         sum_where(n, _other_format("county_code", *COUNTY_FORMATS)).alias("county_other_format"),
         F.min(length).alias("min_county_len"),
         F.max(length).alias("max_county_len"),
@@ -104,8 +104,8 @@ def state_patterns(cells: DataFrame) -> DataFrame:
         F.sum(n).alias("row_count"),
         F.count_distinct(F.when(has_text(state), state)).alias("distinct_state_values"),
         sum_where(n, no_text(state)).alias("missing_state_code"),
-        sum_where(n, full_match(F.trim(state), STATE_FORMATS[0])).alias("state_2_digit"),
-        sum_where(n, full_match(F.trim(state), STATE_FORMATS[1])).alias("state_2_alpha"),
+        sum_where(n, full_match(trimmed(state), STATE_FORMATS[0])).alias("state_2_digit"),
+        sum_where(n, full_match(trimmed(state), STATE_FORMATS[1])).alias("state_2_alpha"),
         sum_where(n, _other_format("state_code", *STATE_FORMATS)).alias("state_other_format"),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countyloom.functions import count_where, has_text, no_text, text_or_null, to_int
+from countyloom.functions import count_where, has_text, no_text, text_or_null, to_int, trimmed
 from countyloom.plans.panels import COUNTY_TOTALS
 
 # Name fragments that hint at a lender identifier, and at a lender name.
@@ -85,7 +85,7 @@ def action_counts(rows: DataFrame) -> DataFrame:
 
 def action_metadata_usage(metadata: DataFrame, rows: DataFrame) -> DataFrame:
     """The action code table with the number of loan rows behind every code."""
-    used = rows.groupBy("source_era", F.trim("action_taken").alias("action_taken")).agg(
+    used = rows.groupBy("source_era", trimmed("action_taken").alias("action_taken")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
     return metadata.join(used, ["source_era", "action_taken"], "left").withColumn(

@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countyloom.sources.files import read_year
+from countyloom.schemas import POST_2018, PRE_2018
+from countyloom.sources.files import read_era, read_year
 
-SCHEMA_ROWS = T.StructType(
-    [
-        T.StructField("activity_year", T.IntegerType()),
-        T.StructField("column_name", T.StringType()),
-        T.StructField("column_type", T.StringType()),
-        T.StructField("nullable", T.BooleanType()),
-    ]
-)
+SCHEMA_ROWS = "activity_year int, column_name string, column_type string, nullable boolean"
 
 OBJECT_ROWS = T.StructType(
     [
@@ -27,15 +23,30 @@ OBJECT_ROWS = T.StructType(
 )
 
 
+def _filled(rows: DataFrame) -> DataFrame:
+    """(activity_year, column_name, non_null_rows) for all columns of an era, in one pass over its rows."""
+    columns = [c for c in rows.columns if c != "file_year"]
+    counts = rows.groupBy("file_year").agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in columns])
+    long = counts.unpivot(["file_year"], [F.col(f"`{c}`") for c in columns], "column_name", "non_null_rows")
+    return long.withColumnRenamed("file_year", "activity_year")
+
+
 def schema_rows(spark: SparkSession, root: str, file_years: Iterable[int]) -> DataFrame:
-    """(activity_year, column_name, column_type, nullable) of every annual file, from footers only."""
+    """(activity_year, column_name, column_type, nullable, non_null_rows) of every annual file.
+
+    Names and types come from the merged footers of all files of a year, a few dozen rows a year; counts of values from
+    one pass over each era.
+    """
+    years = list(file_years)
     rows = [
         (year, f.name, f.dataType.simpleString(), f.nullable)
-        for year in file_years
+        for year in years
         for f in read_year(spark, root, year).schema.fields
         if f.name != "file_year"
     ]
-    return spark.createDataFrame(rows, SCHEMA_ROWS)
+    eras = [read_era(spark, root, era) for era in (PRE_2018, POST_2018)]
+    filled = reduce(DataFrame.unionByName, [_filled(e.where(F.col("file_year").isin(years))) for e in eras if e is not None])
+    return spark.createDataFrame(rows, SCHEMA_ROWS).join(filled, ["activity_year", "column_name"], "left")
 
 
 def catalog_objects(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:

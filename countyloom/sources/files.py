@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import codecs
-import csv
-import io
-import zipfile
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyarrow import csv as pacsv
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from countyloom.schemas import INGEST_LEDGER, PREFIX_COLUMNS, era_of
-from countyloom.sources.dimensions import inline_table
+from countyloom.schemas import INGEST_LEDGER, era_of
+from countyloom.sources.archives import read_archive
 
 # `enforceSchema` off: every file's header is checked against the first one instead of being skipped unread.
 CSV_OPTIONS = {
@@ -67,92 +59,14 @@ def leaf(root: str, file_year: int) -> str:
     return f"{root}/source_era={era_of(file_year)}/file_year={file_year}"
 
 
-# --- ZIP archives -------------------------------------------------------------------------------------
-
-
-class _Utf8(io.RawIOBase):
-    """Byte stream with undecodable bytes replaced, so that one bad byte does not end the read."""
-
-    def __init__(self, raw):
-        self._raw = raw
-        self._decoder = codecs.getincrementaldecoder("utf-8")("replace")
-        self._ready = b""
-
-    def readable(self):
-        return True
-
-    def readinto(self, out):
-        while not self._ready:
-            chunk = self._raw.read(1 << 20)
-            self._ready = self._decoder.decode(chunk, final=not chunk).encode("utf-8")
-            if not chunk:
-                break
-        n = min(len(out), len(self._ready))
-        out[:n], self._ready = self._ready[:n], self._ready[n:]
-        return n
-
-
-def _open_archive(path: str):
-    if "://" in path or path.startswith("file:"):
-        system, inner = pafs.FileSystem.from_uri(path)
-    else:
-        system, inner = pafs.LocalFileSystem(), path
-    return zipfile.ZipFile(system.open_input_file(inner))
-
-
-def _only_csv_member(archive: zipfile.ZipFile, path: str) -> str:
-    members = [n for n in archive.namelist() if n.lower().endswith(".csv")]
-    if len(members) != 1:
-        raise ValueError(f"{path} must hold exactly one CSV file but holds {archive.namelist()}")
-    return members[0]
-
-
-def inspect_archive(path: str) -> tuple[str, list[str]]:
-    """Member name and header of an archive. Reads the directory and the first line only."""
-    with _open_archive(path) as archive:
-        member = _only_csv_member(archive, path)
-        with archive.open(member) as raw:
-            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-            return member, next(csv.reader(text))
-
-
-def read_archives(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    """Stream the CSV member of each archive, all text. One task per archive; nothing is unpacked to disk.
-
-    A deflate stream cannot be split, so one archive is the smallest unit of work. Rows leave the task in
-    Arrow batches of a few megabytes.
-    """
-
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                with _open_archive(path) as archive:
-                    with archive.open(_only_csv_member(archive, path)) as raw:
-                        yield from pacsv.open_csv(
-                            io.BufferedReader(_Utf8(raw), 1 << 20),
-                            read_options=pacsv.ReadOptions(block_size=4 << 20, column_names=columns, skip_rows=1),
-                            parse_options=pacsv.ParseOptions(newlines_in_values=True),
-                            convert_options=pacsv.ConvertOptions(
-                                column_types={c: pa.string() for c in columns},
-                                null_values=[""],
-                                strings_can_be_null=True,
-                                quoted_strings_can_be_null=True,
-                            ),
-                        )
-
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    listing = inline_table(spark, ("path",), [(p,) for p in paths]).repartition(len(paths), "path")
-    return listing.mapInArrow(stream, schema)
-
-
 # --- raw annual rows ----------------------------------------------------------------------------------
 
 
 def read_raw(spark: SparkSession, source: AnnualSource) -> tuple[DataFrame, str | None]:
     """Raw rows of one annual file, every column text, and the archive member they came from."""
     if source.is_archive:
-        member, columns = inspect_archive(source.path)
-        return read_archives(spark, [source.path], columns), member
+        system, target = _hadoop_path(spark, source.path)
+        return read_archive(spark, target.makeQualified(system.getUri(), system.getWorkingDirectory()).toString())
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", source.multi_line)
     return reader.csv(source.path), None
 
@@ -161,8 +75,8 @@ def read_raw(spark: SparkSession, source: AnnualSource) -> tuple[DataFrame, str
 
 
 def read_year(spark: SparkSession, root: str, file_year: int) -> DataFrame:
-    """One year with its own schema, including the partition columns."""
-    return spark.read.option("basePath", root).parquet(leaf(root, file_year))
+    """One year with the merged schema of all its files, including the partition columns."""
+    return spark.read.options(basePath=root, mergeSchema=True).parquet(leaf(root, file_year))
 
 
 def read_era(spark: SparkSession, root: str, era: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -179,15 +93,6 @@ def read_era(spark: SparkSession, root: str, era: str, schema: T.StructType | No
     return reader.parquet(path)
 
 
-def output_columns(input_columns: Iterable[str]) -> list[str]:
-    """Columns of an annual file after ingest: the typed prefix, then raw columns without name clashes."""
-    return [*PREFIX_COLUMNS, *(raw_alias(c) for c in input_columns)]
-
-
-def raw_alias(column: str) -> str:
-    return f"raw_{column}" if column in PREFIX_COLUMNS else column
-
-
 def read_ledger(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
     """Ingest ledger, one JSON object per line; with `array` one JSON array per file."""
     return spark.read.schema(INGEST_LEDGER).option("multiLine", array).json(path)

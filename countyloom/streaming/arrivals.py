@@ -1,17 +1,18 @@
-"""Restartable year-at-a-time ingest.
+"""Restartable ingest of annual files.
 
-Annual files arrive one by one. A run skips years that are already valid, rewrites missing or invalid ones,
-flushes the ledger after every year and stops at the first failure, so it can simply be started again. Each
-year is one distributed job; the loop only orders them.
+A run skips years that are already valid and rewrites missing or invalid ones. Neighbouring years of one layout are written
+by one job, so that a cluster reads their files side by side. The ledger is flushed after every job and the run stops at
+the first year that fails, so it can simply be started again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countyloom.plans.ingest import failed, ledger_frame, revalidate_year, validated, write_year, year_exists
+from countyloom.plans.ingest import Opened, ledger_frame, ledger_rows, open_source, write_years, year_exists
 from countyloom.sources.files import AnnualSource
 
 
@@ -24,34 +25,57 @@ def _flush(spark: SparkSession, rows: list[dict], root: str) -> None:
     ledger_frame(spark, rows).coalesce(1).write.mode("overwrite").json(ledger_path(root))
 
 
-def _ingest_year(spark: SparkSession, source: AnnualSource, root: str, force: bool) -> dict:
-    try:
-        if not force and year_exists(spark, root, source.file_year):
-            existing = revalidate_year(spark, source, root)
-            if existing["validation"]["passed"]:
-                return {**existing, "conversion_status": "skipped_existing", "error": None}
-        header, member = write_year(spark, source, root)
-        return validated(spark, source, root, header, member)
-    except Exception as error:  # recorded in the ledger, where the run stops
-        return failed(source, root, error)
+def _written(files: list[Opened], root: str) -> list[Opened]:
+    """The files as they were written; if their common job fails, one by one up to the first that fails by itself."""
+    if len(files) > 1:
+        try:
+            write_years(files, root)
+            return files
+        except Exception:  # found out below, file by file
+            pass
+    done = []
+    for f in files:
+        try:
+            write_years([f], root)
+            done.append(f)
+        except Exception as error:
+            return [*done, Opened(f.source, error=str(error))]
+    return done
 
 
 def ingest(spark: SparkSession, sources: Iterable[AnnualSource], root: str, force: bool = False) -> DataFrame:
-    """Ingest annual files in the given order; returns the ledger (at most one row per year)."""
+    """Ingest annual files in the given order; returns the ledger (at most one row per year).
+
+    A year whose file cannot be opened, read or validated ends the ledger. Years that the same job had already written
+    after it stay stored, and the next run finds them.
+    """
     sources = list(sources)
     for source in sources:
         _ = source.era  # a file year outside the supported range is an error, not a ledger row
+    opened = [open_source(spark, s) for s in sources]
+    there = [f for f in opened if not force and f.error is None and year_exists(spark, root, f.source.file_year)]
+    valid = {
+        r["year"]: {**r, "conversion_status": "skipped_existing"}
+        for r in ledger_rows(spark, root, there)
+        if r["error"] is None
+    }
     rows: list[dict] = []
-    for source in sources:
-        rows.append(_ingest_year(spark, source, root, force))
+    for (skipped, _), files in groupby(opened, lambda f: (f.source.file_year in valid, f.layout)):
+        files = list(files)
+        if skipped:
+            rows += [valid[f.source.file_year] for f in files]
+        else:
+            rows += ledger_rows(spark, root, files if files[0].error else _written(files, root))
+        broken = next((i for i, r in enumerate(rows) if r["error"] is not None), None)
+        rows = rows if broken is None else rows[: broken + 1]
         _flush(spark, rows, root)
-        if rows[-1]["error"] is not None:
+        if broken is not None:
             break
     return ledger_frame(spark, rows)
 
 
 def revalidate(spark: SparkSession, sources: Iterable[AnnualSource], root: str) -> DataFrame:
     """Validate written years without converting anything; refreshes the ledger and checks every year."""
-    rows = [revalidate_year(spark, source, root) for source in sources]
+    rows = ledger_rows(spark, root, [open_source(spark, s) for s in sources])
     _flush(spark, rows, root)
     return ledger_frame(spark, rows)

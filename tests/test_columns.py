@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from countyloom.functions import count_where, full_match, has_text, missing_or_na, no_text, to_double, to_int
+from countyloom.functions import count_where, full_match, has_text, missing_or_na, no_text, to_double, to_int, trimmed
 
 
 def values(spark, texts, build):
@@ -18,8 +18,21 @@ def test_integers_round_half_away_from_zero(spark):
     assert values(spark, texts, to_int) == [2007, 2008, 2009, -3, 1, 5, 1000, 5, None, None, None, None]
 
 
-def test_suffixes_and_hex_are_not_numbers(spark):
-    assert values(spark, ["5d", "5f", "0x10", "0x1p3", "1,000", "1_000", "Exempt", "5 d"], to_double) == [None] * 8
+def test_suffixes_are_not_numbers(spark):
+    assert values(spark, ["5d", "5f", "0x1p3", "1,000", "Exempt", "5 d", "1__0", "_1", "1_", "5_.1"], to_double) == [None] * 10
+    assert values(spark, ["0x10", "-0x10", "0b11"], to_double) == [None] * 3
+
+
+def test_underscores_and_other_bases(spark):
+    assert values(spark, ["1_000", "1_0.5", "1.5_0", " -1_0 ", ".5_1"], to_double) == [1000.0, 10.5, 1.5, -10.0, 0.51]
+    texts = ["0x10", "0X1f", "0x1_0", "0x7fffffff", "0xffffffff", "0b11", "0o17", "-0x10", "0x", "1_0.5", "1e_5"]
+    assert values(spark, texts, to_int) == [16, 31, 16, 2147483647, None, 3, None, None, None, 11, None]
+
+
+def test_space_separators_are_trimmed_and_tabs_are_not(spark):
+    texts = ["\u00a0x\u00a0", "\u3000 x", "\tx", "\u00a0", None]
+    assert values(spark, texts, trimmed) == ["x", "x", "\tx", "", None]
+    assert values(spark, texts, has_text) == [True, True, True, False, False]
 
 
 def test_doubles(spark):

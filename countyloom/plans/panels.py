@@ -86,6 +86,12 @@ def county_year_lending(geo: DataFrame, cells: DataFrame | None = None) -> DataF
     return out.select(*[c for c in out.columns if c not in ("median_loan_amount", "lender_count")], "median_loan_amount", "lender_count")
 
 
+def county_medians(geo: DataFrame) -> DataFrame:
+    """The county panel's medians alone, every group by the route for large groups."""
+    rows = geo.where(F.col("county_fips_5").isNotNull())
+    return summarise(rows, COUNTY_KEYS, {"total_records": _rows()}, MEDIANS, large_group=0)
+
+
 def lender_county_year(geo: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """One row per year, state, county and lender, over rows whose county and lender are known.
 

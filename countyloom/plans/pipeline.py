@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countyloom.operators.geography import code_cells, loan_years_geo, normalize_codes
-from countyloom.plans import canonical, exports, panels
+from countyloom.plans import canonical, exports, panels, readiness, schema_audit
 from countyloom.schemas import KEY_VALUE
+from countyloom.sources.catalog import schema_rows
 from countyloom.sources.files import AnnualSource, read_ledger, read_published_csv
 from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest, ledger_path
@@ -102,13 +103,30 @@ class Run:
     def year_summary(self) -> DataFrame:
         return self.stored("year_summary", lambda: canonical.year_summary(self.loan_years, self.code_cells))
 
+    @property
+    def schema_rows(self) -> DataFrame:
+        return self.stored("schema_rows", lambda: schema_rows(self.spark, self.annual_root, self.file_years))
+
+    @property
+    def column_metadata(self) -> DataFrame:
+        return readiness.column_metadata(self.spark, self.loan_years, self.ledger)
+
     # published files
 
+    def audit(self) -> str:
+        """Folder of the audit document, written on first use."""
+        folder = f"{self.root}/audit"
+        if "audit" not in self._stored:
+            schema_audit.write_audit(self.spark, self.schema_rows, self.ledger, self.column_metadata, folder)
+            self._stored["audit"] = folder
+        return folder
+
     def publish(self, folder: str | None = None, force: bool = False, include_large_csv: bool = False) -> DataFrame:
         root = folder or f"{self.root}/published"
         plan = exports.planned_exports(
             self.spark, self.county_year_lending, self.lender_county_year, root, include_large_csv
         )
+        self.audit()
         return exports.run_exports(self.spark, plan, root, force)
 
     def published(self, label: str) -> DataFrame:

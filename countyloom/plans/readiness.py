@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countyloom.functions import count_where, has_text, no_text, text_or_null, to_int, trimmed
+from countyloom.plans.canonical import LAYOUTS
 from countyloom.plans.panels import COUNTY_TOTALS
+from countyloom.sources.dimensions import inline_table
 
 # Name fragments that hint at a lender identifier, and at a lender name.
 LENDER_TOKENS = "lender|respondent|lei|name"
@@ -99,6 +101,55 @@ def crosswalk_usage(crosswalk: DataFrame, geo_cells: DataFrame) -> DataFrame:
     return crosswalk.join(used, "state_fips", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
+# What each canonical column holds, and what its reader should know.
+MEANINGS = {
+    "activity_year": ("Year written in the row, as a whole number.", "Need not be the year of the file."),
+    "source_era": ("Which of the two layouts the file has.", "The year of the file decides, never a row."),
+    "lender_id": ("Whoever reported the loan, under the numbering of the time.", "The two numberings share no key."),
+    "lender_id_type": ("Which numbering lender_id uses.", "One value for each layout."),
+    "state_code": ("State as written in the file.", "Kept as text; see the normalised columns for codes."),
+    "county_code": ("County as written in the file.", "Kept as text; see the normalised columns for codes."),
+    "census_tract": ("Tract as written in the file.", "Written differently in the two layouts."),
+    "loan_amount": ("Amount of the loan in dollars.", "Thousands in the early layout are scaled up."),
+    "loan_type": ("Code of the kind of loan.", "To be read with the codes of its layout."),
+    "loan_purpose": ("Code of what the loan is for.", "To be read with the codes of its layout."),
+    "occupancy_type": ("Code of how the home is used.", "Has another name in the early layout."),
+    "action_taken": ("Code of how the application ended.", "Panels count each code they know by name."),
+    "applicant_income": ("Income of the applicant as a number.", "In the unit of the file."),
+    "raw_source_columns": ("The values that were renamed or converted, before that.", "One JSON object a row."),
+}
+_LAYOUT_FIELDS = {
+    "activity_year": "year",
+    "lender_id": "lender",
+    "census_tract": "tract",
+    "loan_amount": "amount",
+    "occupancy_type": "occupancy",
+    "applicant_income": "income",
+}
+_TYPES = {"int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def _sources(column: str) -> str:
+    """Where the layouts keep a column, the early one first."""
+    if column in ("source_era", "lender_id_type"):
+        return "file year"
+    if column == "raw_source_columns":
+        return "; ".join(",".join(layout["kept"]) for layout in LAYOUTS.values())
+    names = [layout[_LAYOUT_FIELDS[column]] if column in _LAYOUT_FIELDS else column for layout in LAYOUTS.values()]
+    return "; ".join(dict.fromkeys(names))
+
+
+def column_metadata(spark: SparkSession, rows: DataFrame, ledger: DataFrame) -> DataFrame:
+    """One row per canonical column: types from the rows, sources from the layouts, years from the ledger."""
+    columns = [
+        (name, MEANINGS[name][0], "all", _sources(name), "JSON" if name == "raw_source_columns" else _TYPES[kind], MEANINGS[name][1])
+        for name, kind in rows.dtypes
+    ]
+    table = inline_table(spark, ("column_name", "description", "source_era", "source_columns", "data_type", "notes"), columns)
+    years = ledger.agg(F.concat_ws("-", F.min("year").cast("string"), F.max("year").cast("string"))).scalar()
+    return table.select("*", years.alias("valid_years"))
+
+
 def column_metadata_usage(metadata: DataFrame, rows: DataFrame) -> DataFrame:
     """The column table with the number of loan rows in which each column has a value."""
     names = rows.columns

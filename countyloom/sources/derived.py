@@ -1,8 +1,8 @@
 """Annual loan files derived from the star-schema test tables.
 
 One loan record per lineitem row, joined to its order and customer. Values are all text, in the two raw
-layouts, with missing, dirty and conflicting codes placed by remainders of a per-row number. Only integer
-arithmetic is used, so sums over the result are exact.
+layouts, with missing, dirty and conflicting codes, years and amounts placed by remainders of a per-row number. Amounts are
+whole numbers or quarters, so sums over the result are exact.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(place, F.col("c_nationkey") == F.col("position"))
+        .join(place, (F.col("c_nationkey") + F.col("c_custkey") % 3 * 25) % 56 == F.col("position"))
         .select(
             "*",
             (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("h"),
@@ -54,6 +54,22 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+NBSP = "\u00a0"
+
+
+def _row_year(spelling: Column) -> Column:
+    """The year written in a row: mostly the file's, but also none, one out of range, the next one, and an odd spelling."""
+    year = F.col("file_year")
+    return _first_match(
+        (_every(127), None), (_every(131), "2031"), (_every(137), spelling), (_every(139), _text(year + 1)),
+        otherwise=_text(year),
+    )
+
+
+def _thousand() -> Column:
+    return F.concat(F.lit("1_"), F.lpad(_text(F.col("l_partkey") % 100), 3, "0"))
+
+
 def raw_pre_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw early-layout rows, all text, plus the file_year they belong to."""
     fx, c3 = F.col("fx"), F.col("c3")
@@ -61,14 +77,14 @@ def raw_pre_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
         _records(spark, sf_dir)
         .where(F.col("file_year") <= LAST_PRE_YEAR)
         .select(
-            _text(F.col("file_year")).alias("as_of_year"),
+            _row_year(F.concat(_text(F.col("file_year")), F.lit(".4"))).alias("as_of_year"),
             _first_match(
                 (_every(97), None), (_every(89), " "),
                 otherwise=F.lpad(_text(F.col("l_suppkey")), 10, "0"),
             ).alias("respondent_id"),
             _first_match(
                 (_every(41), "NA"), (_every(43), None), (_every(37), "ZZ"),
-                (_every(2) & (fx < "10"), F.substring(fx, 2, 1)),
+                (_every(47), F.concat(F.lit(NBSP), fx)), (_every(2) & (fx < "10"), F.substring(fx, 2, 1)),
                 otherwise=fx,
             ).alias("state_code"),
             _first_match(
@@ -77,9 +93,11 @@ def raw_pre_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
                 otherwise=c3,
             ).alias("county_code"),
             F.concat(_text(F.col("l_partkey") % 100 + 1000), F.lit(".00")).alias("census_tract_number"),
-            F.when(_every(101), F.lit(" "))
-            .otherwise(_text(F.floor(F.col("l_extendedprice") / 1000)))
-            .alias("loan_amount_000s"),
+            _first_match(
+                (_every(101), " "), (_every(29), _thousand()),
+                (_every(23), F.concat(_text(F.floor(F.col("l_extendedprice") / 1000)), F.lit(".25"))),
+                otherwise=_text(F.floor(F.col("l_extendedprice") / 1000)),
+            ).alias("loan_amount_000s"),
             F.when(~_every(107), _text(F.col("l_linenumber") % 5 + 1)).alias("loan_type"),
             F.when(~_every(109), _text(F.col("h") % 3 + 1)).alias("loan_purpose"),
             _text(F.col("h") % 3 + 1).alias("owner_occupancy"),
@@ -100,14 +118,14 @@ def raw_post_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
         _records(spark, sf_dir)
         .where(F.col("file_year") > LAST_PRE_YEAR)
         .select(
-            _text(F.col("file_year")).alias("activity_year"),
+            _row_year(F.concat(F.lit("2_0"), F.substring(_text(F.col("file_year")), 3, 2))).alias("activity_year"),
             _first_match(
                 (_every(97), None), (_every(89), ""),
                 otherwise=F.concat(F.lit("LEI"), F.lpad(_text(F.col("l_suppkey")), 17, "0")),
             ).alias("lei"),
             _first_match(
                 (_every(41), "NA"), (_every(43), None), (_every(37), "ZZ"), (_every(53), "NY"),
-                (_every(59), F.lower(ab)),
+                (_every(59), F.lower(ab)), (_every(47), F.concat(F.lit(NBSP), ab, F.lit(NBSP))),
                 otherwise=ab,
             ).alias("state_code"),
             _first_match(
@@ -117,9 +135,11 @@ def raw_post_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
                 otherwise=F.concat(fx, c3),
             ).alias("county_code"),
             F.concat(fx, c3, F.lit("0"), _text(F.col("l_partkey") % 100 + 10000)).alias("census_tract"),
-            F.when(_every(101), F.lit(""))
-            .otherwise(F.concat(_text(F.floor(F.col("l_extendedprice"))), F.lit(".0")))
-            .alias("loan_amount"),
+            _first_match(
+                (_every(101), ""), (_every(29), F.concat(_thousand(), F.lit(".0"))),
+                (_every(23), F.concat(_text(F.floor(F.col("l_extendedprice"))), F.lit(".5"))),
+                otherwise=F.concat(_text(F.floor(F.col("l_extendedprice"))), F.lit(".0")),
+            ).alias("loan_amount"),
             F.when(~_every(107), _text(F.col("l_linenumber") % 5 + 1)).alias("loan_type"),
             F.element_at(purposes, (F.col("h") % 7 + 1).cast("int")).alias("loan_purpose"),
             _text(F.col("h") % 3 + 1).alias("occupancy_type"),

@@ -6,9 +6,9 @@ engine widens integer sums.
 
 from __future__ import annotations
 
-from countyloom.sources.dimensions import STATES
+from oracle.constants import STATE_ROWS
 
-_STATE_ROWS = ", ".join(f"({i}, '{f}', '{a}', '{n}')" for i, (f, a, n) in enumerate(STATES))
+_STATE_ROWS = ", ".join(f"({i}, '{f}', '{a}', '{n}')" for i, (f, a, n) in enumerate(STATE_ROWS))
 
 XWALK = f"xwalk(pos, fips, abbr, name) AS (VALUES {_STATE_ROWS})"
 
@@ -21,19 +21,21 @@ src AS (
          CAST(CAST(floor(l_extendedprice / 1000) AS BIGINT) AS VARCHAR) AS price_k,
          CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) AS price, l_partkey % 100 AS p100
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN xwalk ON c_nationkey = pos
+  JOIN xwalk ON (c_nationkey + 25 * (c_custkey % 3)) % 56 = pos
 )"""
 
 RAW_PRE = """
 raw_pre AS (
-  SELECT yr AS file_year, CAST(yr AS VARCHAR) AS as_of_year,
+  SELECT yr AS file_year, CASE WHEN h % 127 = 0 THEN NULL WHEN h % 131 = 0 THEN '2031' WHEN h % 137 = 0 THEN yr || '.4'
+         WHEN h % 139 = 0 THEN CAST(yr + 1 AS VARCHAR) ELSE CAST(yr AS VARCHAR) END AS as_of_year,
     CASE WHEN h % 97 = 0 THEN NULL WHEN h % 89 = 0 THEN ' ' ELSE supp10 END AS respondent_id,
     CASE WHEN h % 41 = 0 THEN 'NA' WHEN h % 43 = 0 THEN NULL WHEN h % 37 = 0 THEN 'ZZ'
-         WHEN h % 2 = 0 AND fx < '10' THEN right(fx, 1) ELSE fx END AS state_code,
+         WHEN h % 47 = 0 THEN chr(160) || fx WHEN h % 2 = 0 AND fx < '10' THEN right(fx, 1) ELSE fx END AS state_code,
     CASE WHEN h % 31 = 0 THEN 'NA ' WHEN h % 61 = 0 THEN NULL WHEN h % 67 = 0 THEN '1234'
          WHEN h % 79 = 0 THEN fx || c3 WHEN h % 83 = 0 THEN '0' ELSE c3 END AS county_code,
     CAST(1000 + p100 AS VARCHAR) || '.00' AS census_tract_number,
-    CASE WHEN h % 101 = 0 THEN ' ' ELSE price_k END AS loan_amount_000s,
+    CASE WHEN h % 101 = 0 THEN ' ' WHEN h % 29 = 0 THEN '1_' || lpad(CAST(p100 AS VARCHAR), 3, '0')
+         WHEN h % 23 = 0 THEN price_k || '.25' ELSE price_k END AS loan_amount_000s,
     CASE WHEN h % 107 = 0 THEN NULL ELSE CAST(1 + ln % 5 AS VARCHAR) END AS loan_type,
     CASE WHEN h % 109 = 0 THEN NULL ELSE CAST(1 + h % 3 AS VARCHAR) END AS loan_purpose,
     CAST(1 + h % 3 AS VARCHAR) AS owner_occupancy,
@@ -44,15 +46,17 @@ raw_pre AS (
 
 RAW_POST = """
 raw_post AS (
-  SELECT yr AS file_year, CAST(yr AS VARCHAR) AS raw_activity_year,
+  SELECT yr AS file_year, CASE WHEN h % 127 = 0 THEN NULL WHEN h % 131 = 0 THEN '2031' WHEN h % 137 = 0 THEN '2_0' || right(CAST(yr AS VARCHAR), 2)
+         WHEN h % 139 = 0 THEN CAST(yr + 1 AS VARCHAR) ELSE CAST(yr AS VARCHAR) END AS raw_activity_year,
     CASE WHEN h % 97 = 0 OR h % 89 = 0 THEN NULL ELSE 'LEI' || supp17 END AS lei,
     CASE WHEN h % 41 = 0 THEN 'NA' WHEN h % 43 = 0 THEN NULL WHEN h % 37 = 0 THEN 'ZZ' WHEN h % 53 = 0 THEN 'NY'
-         WHEN h % 59 = 0 THEN lower(ab) ELSE ab END AS state_code,
+         WHEN h % 59 = 0 THEN lower(ab) WHEN h % 47 = 0 THEN chr(160) || ab || chr(160) ELSE ab END AS state_code,
     CASE WHEN h % 31 = 0 THEN 'NA' WHEN h % 61 = 0 THEN NULL WHEN h % 67 = 0 THEN '1234'
          WHEN h % 71 = 0 THEN fx || '000' WHEN h % 73 = 0 THEN '99' || c3 WHEN h % 83 = 0 THEN c3
          ELSE fx || c3 END AS county_code,
     fx || c3 || '0' || CAST(10000 + p100 AS VARCHAR) AS census_tract,
-    CASE WHEN h % 101 = 0 THEN NULL ELSE price || '.0' END AS loan_amount,
+    CASE WHEN h % 101 = 0 THEN NULL WHEN h % 29 = 0 THEN '1_' || lpad(CAST(p100 AS VARCHAR), 3, '0') || '.0'
+         WHEN h % 23 = 0 THEN price || '.5' ELSE price || '.0' END AS loan_amount,
     CASE WHEN h % 107 = 0 THEN NULL ELSE CAST(1 + ln % 5 AS VARCHAR) END AS loan_type,
     ['1', '2', '31', '32', '4', '5', '9'][1 + h % 7] AS loan_purpose,
     CAST(1 + h % 3 AS VARCHAR) AS occupancy_type,
@@ -216,21 +220,27 @@ def _values(columns: list[str]) -> str:
     return ", ".join(f"('{c}')" for c in columns)
 
 
+def _filled(kind: str, columns: list[str], typed: dict[str, str]) -> str:
+    """Values of each stored column of an era, by year of the file."""
+    return " UNION ALL ".join(
+        f"SELECT file_year AS activity_year, '{c}' AS column_name, count({typed.get(c, c)}) AS non_null_rows FROM raw_{kind} GROUP BY 1"
+        for c in columns
+    )
+
+
 SCHEMA_ROWS = f"""
 years AS (SELECT DISTINCT yr FROM src),
 schema_rows AS (
-  SELECT yr AS activity_year, column_name, if(column_name = 'activity_year', 'int', 'string') AS column_type, true AS nullable
-  FROM years, (VALUES {_values(PRE_COLUMNS)}) t(column_name) WHERE yr <= 2017
-  UNION ALL
-  SELECT yr, column_name, if(column_name = 'activity_year', 'int', 'string'), true
-  FROM years, (VALUES {_values(POST_COLUMNS)}) t(column_name) WHERE yr > 2017
+  SELECT activity_year, column_name, if(column_name = 'activity_year', 'int', 'string') AS column_type, true AS nullable, non_null_rows
+  FROM ({_filled("pre", PRE_COLUMNS, {"activity_year": "TRY_CAST(as_of_year AS INTEGER)", "source_era": "1", "lei_or_respondent_id": "respondent_id"})}
+    UNION ALL {_filled("post", POST_COLUMNS, {"activity_year": "TRY_CAST(raw_activity_year AS INTEGER)", "source_era": "1", "lei_or_respondent_id": "lei"})})
 )"""
 
 _CHAIN = {
     "raw": [XWALK, SRC, RAW_PRE, RAW_POST],
     "loan_years": [XWALK, SRC, RAW_PRE, RAW_POST, LOAN_YEARS],
     "geo": [XWALK, SRC, RAW_PRE, RAW_POST, LOAN_YEARS, GEO],
-    "schema": [XWALK, SRC, SCHEMA_ROWS],
+    "schema": [XWALK, SRC, RAW_PRE, RAW_POST, SCHEMA_ROWS],
 }
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from countyloom.plans.schema_audit import KEY_FIELDS
-from countyloom.sources.dimensions import ACTIONS, CANONICAL_COLUMNS
 from oracle.base import (
     COUNTY,
     COUNTY_MISSING,
@@ -18,6 +16,7 @@ from oracle.base import (
     rows,
     total,
 )
+from oracle.constants import ACTIONS, COLUMNS, KEY_FIELDS
 
 
 def _list(*parts: str) -> str:
@@ -112,8 +111,8 @@ def _annual_columns() -> str:
     """Every column of both eras, with nulls where an era lacks one."""
     names = list(dict.fromkeys([*PRE_COLUMNS, *POST_COLUMNS]))
     source = {
-        "pre": {"activity_year": "CAST(as_of_year AS INTEGER)", "source_era": "'pre_2018'", "lei_or_respondent_id": "respondent_id"},
-        "post": {"activity_year": "CAST(raw_activity_year AS INTEGER)", "source_era": "'post_2018'", "lei_or_respondent_id": "lei"},
+        "pre": {"activity_year": "TRY_CAST(as_of_year AS INTEGER)", "source_era": "'pre_2018'", "lei_or_respondent_id": "respondent_id"},
+        "post": {"activity_year": "TRY_CAST(raw_activity_year AS INTEGER)", "source_era": "'post_2018'", "lei_or_respondent_id": "lei"},
     }
 
     def side(kind: str, own: list[str]) -> str:
@@ -127,22 +126,19 @@ def _key_fields() -> str:
     values = ", ".join(f"({i}, '{f}', '{c}')" for f, names in KEY_FIELDS.items() for i, c in enumerate(names))
     return f"""
 SELECT logical_field, yr AS activity_year, count(s.column_name) > 0 AS present,
-  coalesce(string_agg(s.column_name, ',' ORDER BY pos), '') AS columns
+  coalesce(string_agg(s.column_name, ',' ORDER BY pos), '') AS columns,
+  CAST(coalesce(sum(non_null_rows), 0) AS BIGINT) AS non_null_rows
 FROM years CROSS JOIN (VALUES {values}) k(pos, logical_field, candidate)
 LEFT JOIN schema_rows s ON s.activity_year = yr AND s.column_name = candidate
 GROUP BY logical_field, yr"""
 
 
 def _column_usage() -> str:
-    names = [c[0] for c in CANONICAL_COLUMNS]
-    meta = ", ".join(
-        "(" + ", ".join(map(_text, (n, text, "all", source, kind, "2007-2024", note))) + ")"
-        for n, kind, source, text, note in CANONICAL_COLUMNS
-    )
-    counts = " UNION ALL ".join(f"SELECT '{n}' AS column_name, count({n}) AS non_null_rows FROM loan_years" for n in names)
+    meta = ", ".join("(" + ", ".join(map(_text, row)) + ")" for row in COLUMNS)
+    counts = " UNION ALL ".join(f"SELECT '{c[0]}' AS column_name, count({c[0]}) AS non_null_rows FROM loan_years" for c in COLUMNS)
     return f"""
-SELECT m.*, non_null_rows
-FROM (VALUES {meta}) m(column_name, description, source_era, source_columns, data_type, valid_years, notes)
+SELECT m.*, 'all' AS source_era, (SELECT min(yr) || '-' || max(yr) FROM src) AS valid_years, non_null_rows
+FROM (VALUES {meta}) m(column_name, data_type, source_columns, description, notes)
 JOIN ({counts}) USING (column_name)"""
 
 
@@ -172,7 +168,7 @@ def statements() -> dict[str, str]:
         ),
         "ingest_validation": query(
             "raw",
-            """SELECT year, row_count, row_count > 0 AS row_count_gt_zero, true AS activity_year_present,
+            """SELECT year, row_count, row_count > 0 AS row_count_gt_zero, true AS parquet_exists, true AS query_ok, true AS activity_year_present,
                'state_code,county_code' AS geography_fields, '' AS geography_unmapped,
                if(year <= 2017, 'respondent_id', 'lei') || ',lei_or_respondent_id' AS lender_identifier_fields,
                false AS lender_identifier_unmapped, true AS expected_columns_present, row_count > 0 AS passed FROM ledger""",
@@ -190,11 +186,11 @@ def statements() -> dict[str, str]:
             FROM loan_years GROUP BY activity_year""",
         ),
         "build_log": query(
-            "raw",
+            "loan_years",
             """SELECT 'years' AS key, '[' || string_agg(CAST(year AS VARCHAR), ', ' ORDER BY year) || ']' AS value FROM ledger
             UNION ALL SELECT 'objects_created', '["loan_years", "column_metadata", "year_summary", "build_log"]'
             UNION ALL SELECT 'loan_years_kind', 'VIEW'
-            UNION ALL SELECT 'year_summary_years', CAST(count(*) AS VARCHAR) FROM ledger
+            UNION ALL SELECT 'year_summary_years', CAST(count(*) AS VARCHAR) FROM (SELECT 1 FROM loan_years GROUP BY activity_year)
             UNION ALL SELECT 'year_summary_total_rows', CAST(sum(row_count) AS VARCHAR) FROM ledger
             UNION ALL SELECT 'notes', '["loan_years is a view over the annual dataset."]'""",
             ledger,
@@ -392,7 +388,7 @@ def statements() -> dict[str, str]:
               UNION ALL SELECT 'loan_years_geo', count(*) FROM loan_years_geo
               UNION ALL SELECT 'county_year_lending', count(*) FROM county
               UNION ALL SELECT 'lender_county_year', count(*) FROM lender
-              UNION ALL SELECT 'year_summary', count(DISTINCT activity_year) FROM loan_years)""",
+              UNION ALL SELECT 'year_summary', count(*) FROM (SELECT 1 FROM loan_years GROUP BY activity_year))""",
             COUNTY,
             LENDER,
         ),
@@ -457,30 +453,46 @@ def statements() -> dict[str, str]:
         "schema_by_year": query("schema", "SELECT * FROM schema_rows"),
         "schema_years_for_column": query(
             "schema",
-            """SELECT column_name, string_agg(CAST(activity_year AS VARCHAR), ',' ORDER BY activity_year) AS years
+            """SELECT column_name, string_agg(CAST(activity_year AS VARCHAR), ',' ORDER BY activity_year) AS years,
+              CAST(sum(non_null_rows) AS BIGINT) AS non_null_rows
             FROM schema_rows GROUP BY column_name""",
         ),
         "schema_column_counts": query(
-            "schema", "SELECT activity_year, count(*) AS columns FROM schema_rows GROUP BY activity_year"
+            "schema",
+            """SELECT activity_year, count(*) AS columns, count(*) FILTER (WHERE non_null_rows > 0) AS filled_columns
+            FROM schema_rows GROUP BY activity_year""",
         ),
         "schema_common_columns": query(
             "schema",
-            """SELECT column_name FROM schema_rows GROUP BY column_name
+            """SELECT column_name, CAST(sum(non_null_rows) AS BIGINT) AS non_null_rows FROM schema_rows GROUP BY column_name
             HAVING count(DISTINCT activity_year) = (SELECT count(*) FROM years)""",
         ),
         "schema_era_only_columns": query(
             "schema",
-            """SELECT if(max(activity_year) <= 2017, 'pre_2018', 'post_2018') AS source_era, column_name FROM schema_rows
+            """SELECT if(max(activity_year) <= 2017, 'pre_2018', 'post_2018') AS source_era, column_name,
+              CAST(sum(non_null_rows) AS BIGINT) AS non_null_rows FROM schema_rows
             GROUP BY column_name HAVING max(activity_year) <= 2017 OR min(activity_year) > 2017""",
         ),
         "schema_type_differences": query(
             "schema",
-            """SELECT column_name, column_type, string_agg(CAST(activity_year AS VARCHAR), ',' ORDER BY activity_year) AS years
+            """SELECT column_name, column_type, string_agg(CAST(activity_year AS VARCHAR), ',' ORDER BY activity_year) AS years,
+              CAST(sum(non_null_rows) AS BIGINT) AS non_null_rows
             FROM schema_rows
             WHERE column_name IN (SELECT column_name FROM schema_rows GROUP BY 1 HAVING count(DISTINCT column_type) > 1)
             GROUP BY column_name, column_type""",
         ),
         "schema_key_field_availability": query("schema", _key_fields()),
+        "schema_audit_tables": query(
+            "schema",
+            """SELECT 'ledger_summary' AS table_name, 1 AS rows UNION ALL SELECT 'schema_by_year', count(*) FROM schema_rows
+            UNION ALL SELECT 'years_for_column', count(DISTINCT column_name) FROM schema_rows
+            UNION ALL SELECT 'column_counts', count(*) FROM years
+            UNION ALL SELECT 'common_columns', count(*) FROM (SELECT 1 FROM schema_rows GROUP BY column_name
+              HAVING count(DISTINCT activity_year) = (SELECT count(*) FROM years))
+            UNION ALL SELECT 'era_only_columns', count(*) FROM (SELECT 1 FROM schema_rows GROUP BY column_name
+              HAVING max(activity_year) <= 2017 OR min(activity_year) > 2017)
+            UNION ALL SELECT 'key_field_availability', 13 * count(*) FROM years UNION ALL SELECT 'canonical_schema', 14""",
+        ),
         "schema_ledger_summary": query(
             "raw",
             """SELECT count(*) AS records, string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) AS years,
@@ -490,6 +502,14 @@ def statements() -> dict[str, str]:
         # exports and their profile
         "export_county_panel": query("geo", f"SELECT *, {STATE_NAME} FROM county", *county_panel),
         "export_lender_panel": query("geo", f"SELECT *, {STATE_NAME} FROM lender", *lender_panel),
+        "export_lender_sample_small": query(
+            "geo", f"SELECT *, {STATE_NAME} FROM sample", LENDER, SAMPLE.replace("100000", "703")
+        ),
+        "county_medians_by_histogram": query(
+            "geo",
+            """SELECT activity_year, state_fips_2, county_fips_5, count(*) AS total_records, median(loan_amount) AS median_loan_amount
+            FROM loan_years_geo WHERE county_fips_5 IS NOT NULL GROUP BY ALL""",
+        ),
         "export_lender_sample": query("geo", f"SELECT *, {STATE_NAME} FROM sample", LENDER, SAMPLE),
         "export_manifest": query(
             "geo",

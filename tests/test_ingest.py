@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from countyloom.plans.canonical import annual_rows, loan_years, with_prefix
 from countyloom.plans.pipeline import start
-from countyloom.plans.schema_audit import common_columns, era_only_columns, write_audit
+from countyloom.plans.readiness import column_metadata
+from countyloom.plans.schema_audit import common_columns, era_only_columns, type_differences, write_audit
 from countyloom.sources.catalog import schema_rows
 from countyloom.sources.files import AnnualSource, leaf, read_ledger, read_raw, read_year
 from countyloom.streaming.arrivals import ingest, ledger_path, revalidate
@@ -173,7 +174,8 @@ def test_schema_sets_over_both_layouts(spark, files, tmp_path):
     only = era_only_columns(schema)
     assert {r["column_name"] for r in only.where(F.col("source_era") == "pre_2018").collect()} == pre - post
     assert {r["column_name"] for r in only.where(F.col("source_era") == "post_2018").collect()} == post - pre
-    write_audit(spark, schema, read_ledger(spark, ledger_path(files.root)), str(tmp_path / "audit"))
+    ledger = read_ledger(spark, ledger_path(files.root))
+    write_audit(spark, schema, ledger, column_metadata(spark, loan_years(spark, files.root), ledger), str(tmp_path / "audit"))
     summary = spark.read.json(str(tmp_path / "audit" / "ledger_summary")).first()
     assert (summary["records"], summary["total_rows"], summary["statuses"]) == (3, 9, "converted")
     race = spark.read.json(str(tmp_path / "audit" / "key_field_availability")).where("logical_field = 'race_fields'")
@@ -183,8 +185,32 @@ def test_schema_sets_over_both_layouts(spark, files, tmp_path):
 
 
 def test_columns_of_mixed_type_are_reported(spark):
-    from countyloom.plans.schema_audit import type_differences
-
     rows = [(2017, "a", "int", True, 1), (2018, "a", "string", True, 2), (2019, "a", "string", True, 3), (2018, "b", "int", True, 4)]
     schema = spark.createDataFrame(rows, "activity_year int, column_name string, column_type string, nullable boolean, non_null_rows long")
     assert {tuple(r) for r in type_differences(schema).collect()} == {("a", "int", "2017", 1), ("a", "string", "2018,2019", 5)}
+
+
+def test_archive_years_equal_plain_years(spark, files):
+    """Years from archives, written by one job, give the rows that plain files give."""
+    years = (2014, 2015, 2016, 2017)
+    packed = [files.archive(y, {"l.csv": pre_text(y, 5 + y % 3).encode()}) for y in years]
+    plain = [files(y, pre_text(y, 5 + y % 3)) for y in years]
+    found = []
+    for sources, name in ((packed, "zip"), (plain, "csv")):
+        assert statuses(ingest(spark, sources, f"{files.root}-{name}")) == [(y, "converted", 5 + y % 3) for y in years]
+        found.append(sorted(map(str, loan_years(spark, f"{files.root}-{name}").collect())))
+    assert found[0] == found[1]
+
+
+def test_a_bad_year_does_not_take_its_neighbours_along(spark, files):
+    """One job writes three years; when it fails, the years before the bad one are converted and the run ends there."""
+    sources = [files(2018, post_text(2018)), files(2019, post_text(2019) + "2019,too,few\n"), files(2020, post_text(2020))]
+    assert statuses(ingest(spark, sources, files.root)) == [(2018, "converted", 3), (2019, "failed", None)]
+
+
+def test_a_second_file_with_other_columns_is_seen(spark, files):
+    ingest(spark, [files(2018, post_text(2018))], files.root)
+    extra = spark.createDataFrame([(2018, "LEI9", "x")], "activity_year int, lei_or_respondent_id string, extra string")
+    extra.write.mode("append").parquet(leaf(files.root, 2018))
+    schema = {r["column_name"]: r["non_null_rows"] for r in schema_rows(spark, files.root, [2018]).collect()}
+    assert schema["extra"] == 1 and schema["lei_or_respondent_id"] == 4

@@ -356,3 +356,13 @@ def test_classifiers_learn_and_keep_their_folds(spark, odd, none):
         assert scored.count() == odd.count() and scored.where("score is null or score < 0 or score > 1 or predicted is null").count() == 0
     for module in (toxicity, quality):
         assert module.score(none, module.train(none, labels.where("false"))).count() == 0
+
+
+def test_cascade_query_equals_its_sql(spark):
+    import compare
+
+    from countyloom.llm.queries import QUERIES, oracle_sql
+
+    con = compare.connect(SF)
+    for name, sql in oracle_sql().items():
+        assert compare.differences(QUERIES[name](spark, SF), con, sql) == []

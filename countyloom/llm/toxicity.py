@@ -68,7 +68,8 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
     """Minimises prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)) by gradient descent on mini-batches.
 
     R+ and R- are mean logistic losses for the labels 1 and 0; the second term estimates the risk on non-toxic text, which
-    can't be negative, so a batch where it falls below zero moves by the first term alone. Without positives or unlabelled
+    can't be negative, so a batch where it falls below zero moves by the first term alone. The model is the mean over the
+    second half of the steps, which evens out the last batches. Without positives or unlabelled
     text every score is the prior.
     """
     base = float(np.log(prior / (1 - prior)))
@@ -80,6 +81,7 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
     pos, unl = [f[chosen[f]] for f in pos], [f[chosen[f]] for f in unl]
     rng = np.random.default_rng(settings.seed)
     pull, pull_bias, step = np.zeros(len(weights)), 0.0, 0
+    late, late_bias, counted = np.zeros(len(weights)), 0.0, 0
     per = max(1, settings.batch // 4)
 
     def outputs(rows):
@@ -87,7 +89,7 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
         ids = np.concatenate(rows)
         return ids, sizes, np.bincount(np.repeat(np.arange(len(rows)), sizes), weights[ids], len(rows)) + bias
 
-    for _ in range(settings.epochs):
+    for epoch in range(settings.epochs):
         p_order, u_order = rng.permutation(len(pos)), rng.permutation(len(unl))
         for a in range(0, len(unl), settings.batch):
             p_rows = [pos[p_order[(step * per + i) % len(pos)]] for i in range(min(per, len(pos)))]
@@ -105,7 +107,9 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
             pull_bias = settings.momentum * pull_bias + p_grad.sum() + u_grad.sum()
             weights -= settings.rate * pull
             bias -= settings.rate * pull_bias
-    return Model(weights.astype(np.float32), float(bias))
+            if 2 * epoch >= settings.epochs:
+                late, late_bias, counted = late + weights, late_bias + bias, counted + 1
+    return Model((late / counted).astype(np.float32), float(late_bias / counted))
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list[str], list[str], float]:

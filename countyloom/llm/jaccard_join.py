@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from countyloom.llm.common import Words, checkpointed, mix, text_blocks
@@ -18,6 +18,8 @@ from countyloom.llm.url_cascade import build_filter
 
 #: Counters of the frequency order, and how many of them one row carries. They fit a broadcast of 4 MB at any corpus size.
 COUNT_BITS, CHUNK = 20, 1 << 16
+#: Hashed places, as a power of two, whose parities tell sets apart that can't link.
+MARK_BITS = 11
 #: Classes that a worker remembers, so that copies in its own split are sent once.
 REMEMBERED = 200_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -135,13 +137,13 @@ def _pairs(classes, sizes, spots, first, second, percent):
     a, b = sizes[first].astype(np.int64), sizes[second].astype(np.int64)
     need = -(-percent * (a + b) // (100 + percent))
     ok = (np.minimum(a - spots[first], b - spots[second]) >= need) & (classes[first] != classes[second])
-    return classes[first[ok]], classes[second[ok]]
+    return classes[first[ok]], classes[second[ok]], (second - first)[ok] <= 2
 
 
 def list_candidates(lists: DataFrame, settings: Settings) -> DataFrame:
-    """Candidate pairs of the classes that share a token; lists come sorted by token, then size.
+    """Candidate pairs (a, b, near) of the classes that share a token; lists come sorted by token, then size.
 
-    Short lists are paired in full. A longer one gives pairs of neighbours by size, and all its entries, with the token, for
+    Short lists are paired in full; `near` marks neighbours by size. A longer one gives pairs of neighbours by size, and all its entries, with the token, for
     `hot_candidates`: it is read as a stream, whatever its length.
     """
     most, percent = settings.list_rows, settings.percent
@@ -151,10 +153,11 @@ def list_candidates(lists: DataFrame, settings: Settings) -> DataFrame:
         long = False  # whether the list that `kept` begins with is already known to be long
 
         def rows(pairs, hot):
-            a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.empty(0, np.int64) for i in (0, 1))
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            out = pd.DataFrame({"a": low, "b": high, "token": pd.array([None] * len(a), "Int64"), "size": pd.array([None] * len(a), "Int32"), "spot": pd.array([None] * len(a), "Int32")}).drop_duplicates(["a", "b"])
-            parts = [out, *(pd.DataFrame({"a": h[1], "b": pd.array([None] * len(h[1]), "Int64"), "token": h[0], "size": h[2], "spot": h[3]}) for h in hot)]
+            a, b, near = (np.concatenate([p[i] for p in pairs]) for i in range(3))
+            none = lambda n: pd.array([None] * n, "Int64")
+            out = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "near": near, "token": none(len(a)), "size": none(len(a)), "spot": none(len(a))})
+            parts = [out.sort_values("near", ascending=False).drop_duplicates(["a", "b"])]
+            parts += [pd.DataFrame({"a": h[1], "b": none(len(h[1])), "near": False, "token": h[0], "size": h[2], "spot": h[3]}) for h in hot]
             return pd.concat(parts, ignore_index=True)
 
         def done(arrays, last):
@@ -199,10 +202,42 @@ def list_candidates(lists: DataFrame, settings: Settings) -> DataFrame:
 
     dealt = lists.repartition("token").withColumn("_turn", F.xxhash64("class", F.pmod("token", F.lit(4))))
     ordered = dealt.sortWithinPartitions("token", "size", "_turn").select("token", "class", "size", "spot")
-    return ordered.mapInPandas(walk, "a long, b long, token long, size int, spot int")
+    found = ordered.mapInPandas(walk, "a long, b long, near boolean, token long, size int, spot int")
+    return found.groupBy("a", "b", "token", "size", "spot").agg(F.max("near").alias("near"))
 
 
-def hot_candidates(hot: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
+def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components."""
+    for end in ("a", "b"):
+        named = known.select(F.col("node").alias(end), F.col("component").alias(f"part_{end}"))
+        pairs = pairs.join(named, end, "left").withColumn(f"part_{end}", F.coalesce(f"part_{end}", end))
+    return pairs.where("part_a <> part_b").select("a", "b")
+
+
+def can_link(size: str, size2: str, marks: str, marks2: str, settings: Settings) -> Column:
+    """Whether two sets differ in few enough hashed places.
+
+    A token is in both sets or makes their parities differ in its place, unless others cancel it out there: sets have at
+    least as many tokens of their own as places with different parity.
+    """
+    both = F.col(size) + F.col(size2)
+    odd = F.aggregate(F.zip_with(marks, marks2, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return odd <= both - 2 * needed(both, settings)
+
+
+def needed(both: Column, settings: Settings) -> Column:
+    """Tokens that linked sets share at least, by their sizes' sum."""
+    return F.ceil(settings.percent * both / (100 + settings.percent))
+
+
+def plausible(pairs: DataFrame, marks: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) that their marks leave open."""
+    one, two = (marks.select(*[F.col(c).alias(f"{c}_{end}") for c in ("class", "size", "marks")]) for end in ("a", "b"))
+    met = pairs.join(one, F.col("a") == F.col("class_a")).join(two, F.col("b") == F.col("class_b"))
+    return met.where(can_link("size_a", "size_b", "marks_a", "marks_b", settings)).select("a", "b")
+
+
+def hot_candidates(hot: DataFrame, marks: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
     """Pairs from long lists whose classes are not in one component yet.
 
     Lists within one component are left out by their least and greatest component, before any join.
@@ -213,21 +248,25 @@ def hot_candidates(hot: DataFrame, known: DataFrame, settings: Settings) -> Data
     )
     entries = checkpointed(entries)
     mixed = entries.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
-    open_ = entries.join(mixed, "token")
-    other = open_.select("token", F.col("class").alias("class2"), F.col("size").alias("size2"), F.col("spot").alias("spot2"), F.col("part").alias("part2"))
-    need = F.ceil(settings.percent * (F.col("size") + F.col("size2")) / (100 + settings.percent))
-    both = open_.join(other, "token").where((F.col("part") < F.col("part2")) & (F.least(F.col("size") - F.col("spot"), F.col("size2") - F.col("spot2")) >= need))
-    return both.select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b")).distinct()
+    open_ = checkpointed(entries.join(mixed, "token").join(marks.select("class", "marks"), "class"))
+    other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("class", "size", "spot", "part", "marks")])
+    reach = F.least(F.col("size") - F.col("spot"), F.col("size2") - F.col("spot2")) >= needed(F.col("size") + F.col("size2"), settings)
+    pairs = open_.join(
+        other,
+        (open_["token"] == other["token"])
+        & (F.col("part") < F.col("part2"))
+        & reach
+        & can_link("size", "size2", "marks", "marks2", settings),
+    )
+    return pairs.select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b")).distinct()
 
 
-def links_of(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
-    """The candidate pairs (a, b) that link.
+def fetched(docs: DataFrame, classes: DataFrame, settings: Settings, marks: bool = False) -> DataFrame:
+    """(class, size, shingles) of the named classes, read from the texts again; with `marks`, (class, size, marks) instead.
 
-    Sets are read again for the classes in some pair only. A pair must share prefix tokens under each of the other orders
-    too, before its whole sets are compared.
+    Only sets that pass a filter of the wanted names leave a task, so the texts are not shuffled.
     """
-    named = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    keys = checkpointed(named.select(F.col("class").alias("h1"), F.col("class").alias("h2")))
+    keys = checkpointed(classes.select(F.col("class").alias("h1"), F.col("class").alias("h2")).distinct())
     shared = docs.sparkSession.sparkContext.broadcast(build_filter(keys, max(1, keys.count()), seed=1))
 
     def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,13 +275,29 @@ def links_of(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame
             sets = [s for s in shingle_sets(frame["text"].tolist(), settings.words) if len(s)]
             names = np.array([class_of(s) for s in sets], np.int64)
             wanted = np.flatnonzero(shared.value.holds(names, names))
-            made = {int(names[k]): sets[k].tobytes() for k in wanted if int(names[k]) not in seen}
+            made = {int(names[k]): sets[k] for k in wanted if int(names[k]) not in seen}
             if len(seen) < REMEMBERED:
                 seen.update(made)
-            yield pd.DataFrame({"class": pd.Series(list(made), dtype="int64"), "shingles": list(made.values())})
+            out = pd.DataFrame({"class": pd.Series(list(made), dtype="int64"), "size": [len(s) for s in made.values()]})
+            yield out.assign(found=pd.Series([_marks(s) if marks else s.tobytes() for s in made.values()], dtype=object))
+
+    found = docs.select("text").mapInPandas(fetch, f"class long, size int, found {'array<long>' if marks else 'binary'}")
+    return found.groupBy("class").agg(F.first("size").alias("size"), F.first("found").alias("marks" if marks else "shingles"))
+
+
+def _marks(shingles: np.ndarray) -> list[int]:
+    """Of each hashed place, whether an odd number of tokens falls there, as longs."""
+    odd = np.bincount((shingles >> np.uint64(64 - MARK_BITS)).astype(np.int64), minlength=1 << MARK_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
-    fetched = docs.select("text").mapInPandas(fetch, "class long, shingles binary")
-    sets = checkpointed(fetched.groupBy("class").agg(F.first("shingles").alias("shingles")))
+
+def links_of(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
+    """The candidate pairs (a, b) that link.
+
+    A pair must share prefix tokens under each of the other orders too, before its whole sets are compared.
+    """
+    named = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    sets = fetched(docs, named, settings)
     seeds = [np.uint64(0x1234567 + 2 * k) for k in range(settings.orders)]
 
     @F.pandas_udf("boolean")
@@ -283,14 +338,19 @@ def join_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     named = read.where("chunk is null").select("doc_id", "n_shingles", "class")
     counts = docs.sparkSession.sparkContext.broadcast(token_counts(read.where("chunk is not null")))
     candidates = checkpointed(list_candidates(postings(docs, counts, settings), settings))
-    pairs = candidates.where("b is not null").select("a", "b").distinct()
-    first = checkpointed(links_of(docs, pairs, settings))
-    hot = candidates.where("b is null")
-    known = components(first)
+    pairs, hot = candidates.where("b is not null").select("a", "b", "near"), candidates.where("b is null")
+    named_in = candidates.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    marks = checkpointed(fetched(docs, named_in, settings, marks=True))
+    near = checkpointed(plausible(pairs.where("near"), marks, settings))
+    links = checkpointed(links_of(docs, near, settings))
+    known = checkpointed(components(links))
+    # What the neighbours have joined needs no further look; every other candidate gets one.
+    rest = plausible(apart(pairs.where("not near").select("a", "b"), known), marks, settings)
     if not hot.isEmpty():
-        more = checkpointed(hot_candidates(hot, checkpointed(known), settings).join(pairs, ["a", "b"], "left_anti"))
-        if not more.isEmpty():
-            known = components(first.unionByName(links_of(docs, more, settings)))
+        rest = rest.unionByName(hot_candidates(hot, marks, known, settings)).distinct()
+    rest = checkpointed(rest.join(near, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        known = components(links.unionByName(links_of(docs, rest, settings)))
     classes = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     parts = classes.join(known, classes["class"] == known["node"], "left").select("class", "least", F.coalesce("component", "class").alias("part"))
     parts = checkpointed(parts)

@@ -201,6 +201,22 @@ def test_every_block_meets_its_window_and_no_source_lags(blocks):
     assert sorted(order) == list(range(sum(blocks.values())))
 
 
+def test_no_source_lags_behind_its_given_weight_in_a_long_phase():
+    blocks = {0: 16_000, **{s: 1_600 for s in range(1, 21)}}
+    weights = {s: n**0.5 for s, n in blocks.items()}
+    phase = next(iter(mixing.phases_of(blocks, weights)))
+    rows = [r for r in mixing.plan_rows(iter([phase]))]
+    total = math.fsum(weights.values())
+    for s, _, at, release, due, target in rows:
+        assert all(a <= x < b for x, a, b in zip(at, release, due, strict=True))
+        assert target == pytest.approx([weights[s] / total] * len(at), rel=1e-12)
+    assert len({x for r in rows for x in r[2]}) == sum(len(r[2]) for r in rows) > 20_000
+    for s, w in weights.items():
+        got = np.array([x for r in rows if r[0] == s for x in r[2]])
+        before = np.arange(len(got))  # blocks of the source before its slot, and with it
+        assert (np.abs(before - got * w / total) < 1).all() and (np.abs(before + 1 - (got + 1) * w / total) < 1).all()
+
+
 def test_mixture_keeps_all_rows(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     mixed = mixing.mix_sources(docs, mixing.tempered(), block_rows=4, period=64)

@@ -48,14 +48,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def number_rows(frame: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+def number_rows(frame: DataFrame, key: str, order: list[str], name: str, few: bool = True) -> DataFrame:
     """Adds a gapless number from 0 within each value of `key`, in a pseudo-random order of the rows.
 
     Rows are dealt into hashed sub-buckets of their key; counts of the sub-buckets give each its first number, so a key
     with most of the rows is numbered by many tasks. Rows equal in `order` may swap numbers. Null keys form one key.
 
-    Meant for a bounded number of keys (shards, mixture components): their first numbers, at most NUMBER_BUCKETS rows of a
-    few bytes for each key, are broadcast, so that the rows themselves move once.
+    With `few` keys (shards, mixture components) their first numbers, at most NUMBER_BUCKETS rows of a few bytes for each
+    key, are broadcast, so that the rows themselves move once; without it, they are joined.
     """
     spread = F.xxhash64(F.lit("number"), *order)
     rows = frame.withColumn("_spread", spread).withColumn("_bucket", F.pmod("_spread", F.lit(NUMBER_BUCKETS)).cast("int"))
@@ -64,7 +64,8 @@ def number_rows(frame: DataFrame, key: str, order: list[str], name: str) -> Data
     firsts = counts.select("_key", "_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     inner = Window.partitionBy(key, "_bucket").orderBy("_spread", *order)
     numbered = rows.withColumn("_row", F.row_number().over(inner))
-    joined = numbered.join(F.broadcast(firsts), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_of")))
+    firsts = F.broadcast(firsts) if few else firsts
+    joined = numbered.join(firsts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_of")))
     return joined.select(*frame.columns, (F.col("_first") + F.col("_row") - 1).alias(name))
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from countyloom.llm.common import number_rows
 
-#: Sources that can have weights of their own.
-MAX_SOURCES = 256
+#: Sources up to which their first numbers are broadcast.
+FEW_SOURCES = 256
 #: Slots up to which a schedule that repeats is worked out once; it is the same either way.
 PERIOD = 4096
 #: Blocks of a source in one row of the plan, and blocks up to which the plan (32 bytes each) is broadcast.
@@ -142,17 +142,16 @@ def mix_sources(
     `weight(source, rows)` is a source's target weight, above zero. Blocks are `block_rows` rows of a source in a hashed order
     (the last may be shorter); repeated rows are rows of their own, and null is a source of its own. Within a phase, however
     long, the slots a source has got differ from its share by its weight by less than one block. Every row is kept: a phase
-    ends when a source does, and the rest share its slots. The driver places the blocks, not the rows. An empty table gives no
-    rows; columns of these names in `docs` are replaced.
+    ends when a source does, and the rest share its slots. The driver places the blocks, not the rows, for any number of
+    sources (its time grows with their square if all end apart). An empty table gives no rows; columns of these names in
+    `docs` are replaced.
     """
     added = ("block", "release", "deadline", "position", "offset", "target")
     docs = docs.drop(*added, "_n")
     spark = docs.sparkSession
-    counts = docs.groupBy("source").count().limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: map them to fewer mixture components first")
-    names = sorted((r["source"] for r in counts), key=lambda s: (s is not None, s))
-    rows = {names.index(r["source"]): r["count"] for r in counts}
+    counts = sorted(docs.groupBy("source").count().collect(), key=lambda r: (r["source"] is not None, r["source"]))
+    names = [r["source"] for r in counts]
+    rows = {i: r["count"] for i, r in enumerate(counts)}
     weights = {i: float(weight(names[i], n)) for i, n in rows.items()}
     if any(not (w > 0 and math.isfinite(w)) for w in weights.values()):
         raise ValueError("a target weight must be a number above zero")
@@ -163,7 +162,7 @@ def mix_sources(
     )
     plan = F.broadcast(plan) if sum(blocks.values()) <= BROADCAST_BLOCKS else plan
     order = [c for c in ("doc_id", "n_chars") if c in docs.columns]
-    numbered = number_rows(docs, "source", order, "_n").withColumn("block", F.floor(F.col("_n") / block_rows))
+    numbered = number_rows(docs, "source", order, "_n", few=len(names) <= FEW_SOURCES).withColumn("block", F.floor(F.col("_n") / block_rows))
     placed = numbered.withColumn("_of", F.floor(F.col("block") / PLAN_BLOCKS)).join(
         plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_of") == F.col("_chunk"))
     )

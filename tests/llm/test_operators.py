@@ -233,6 +233,15 @@ def test_mixture_keeps_all_rows(spark, odd, none):
     assert found == sorted(found)
 
 
+def test_any_number_of_sources_is_mixed(spark):
+    name = F.when(F.col("id") % 300 > 0, (F.col("id") % 300).cast("string"))
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), name.alias("source"))
+    rows = mixing.mix_sources(docs, mixing.tempered(), 2).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(900))
+    assert len({(r.position, r.source) for r in rows}) == 600 == 1 + max(r.position for r in rows)
+    assert all(r.release <= r.position < r.deadline for r in rows)
+
+
 def brute_components(rows):
     """Sets, links and components of (doc_id, text) by comparing every two."""
     sets = []

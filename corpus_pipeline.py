@@ -31,8 +31,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, packed into sequences."""
-    return packing.pack(docs, tokenizer_path())
+    """Token pieces of all documents, packed into sequences that are numbered in the order in which the mixture left the rows."""
+    return packing.pack(docs, tokenizer_path(), in_order=True)
 
 
 STAGES = [

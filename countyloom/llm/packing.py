@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -96,10 +97,11 @@ def _ids(path: str) -> _Ids:
     return _Ids(path)
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, most: int) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str, most: int, carried: tuple[str, ...] = ()) -> DataFrame:
     """Pieces of at most `most` ids: doc_id, piece, start, length, ids_crc32. A document is its text's ids, then id 0.
 
-    Null and empty texts are the id 0 alone. `tokenizer` is a path that every executor has.
+    Null and empty texts are the id 0 alone. `tokenizer` is a path that every executor has. Columns that are `carried`
+    (without nulls) follow.
     """
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,12 +116,14 @@ def pieces_of(docs: DataFrame, tokenizer: str, most: int) -> DataFrame:
                         part = ids[start : start + 4 * most]
                         rows.append((k, piece, start // 4, len(part) // 4, zlib.crc32(part)))
             made = pd.DataFrame(rows, columns=["k", "piece", "start", "length", "ids_crc32"])
-            made.insert(0, "doc_id", frame["doc_id"].array.take(made.pop("k").to_numpy(np.int64)))
-            yield made
+            of = made.pop("k").to_numpy(np.int64)
+            made.insert(0, "doc_id", frame["doc_id"].array.take(of))
+            yield made.assign(**{c: frame[c].array.take(of) for c in carried})
 
     kind = docs.schema["doc_id"].dataType
-    named = docs.select(F.col("doc_id").cast("string"), "text")  # as text, so that pandas keeps long ids beside nulls
-    pieces = named.mapInPandas(cut, "doc_id string, piece int, start long, length long, ids_crc32 long")
+    named = docs.select(F.col("doc_id").cast("string"), "text", *carried)  # as text, so that pandas keeps long ids beside nulls
+    more = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carried)
+    pieces = named.mapInPandas(cut, f"doc_id string, piece int, start long, length long, ids_crc32 long{more}")
     return pieces.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -155,30 +159,68 @@ def best_fit(lengths: np.ndarray, caps: Capacities) -> tuple[np.ndarray, np.ndar
     return bins, offsets
 
 
-def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities()) -> DataFrame:
+def stored_places(docs: DataFrame) -> DataFrame:
+    """`docs`, as read from files, with each row's place there: `_part` and `_file` (by which its files sort), and `_at`.
+
+    Spark reads the largest files first, so the order of its rows is not that of the files. Rows that come from no file
+    stand in the order of the frame.
+    """
+    if not docs.inputFiles():
+        return docs.withColumns({"_part": F.lit(0), "_file": F.lit(""), "_at": F.monotonically_increasing_id()})
+    name = F.col("_metadata.file_name")
+    return docs.select("*", F.length(name).alias("_part"), name.alias("_file"), F.col("_metadata.row_index").alias("_at"))
+
+
+def numbered(pieces: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """`pieces` with a gapless number `_row` from 0 in the order of the columns of `order`, which are left out."""
+    sorted_ = checkpointed(pieces).repartitionByRange(*order).sortWithinPartitions(*order).drop(*set(order).difference({"piece"}))
+    placed = checkpointed(sorted_.withColumn("_id", F.monotonically_increasing_id())).withColumn("_split", F.shiftright("_id", 33))
+    counts = sorted(placed.groupBy("_split").count().collect())
+    firsts = zip((r["_split"] for r in counts), accumulate((r["count"] for r in counts), initial=0))
+    first = placed.sparkSession.createDataFrame(list(firsts), "_split long, _first long")
+    at = F.col("_first") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(first), "_split").withColumn("_row", at).drop("_split", "_id", "_first")
+
+
+def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities(), in_order: bool = False) -> DataFrame:
     """Every piece with its sequence and its offset there: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Whole sequences stand alone. The other pieces are dealt evenly into groups of about `caps.group`, whatever their keys,
     and each group is packed by itself; that leaves one badly filled sequence a group or so. Repeated rows are packed as
     often as they come; an empty table gives no rows. A piece must fit an empty sequence, so tokens squared may not
     exceed the cost.
+
+    `in_order` keeps the order of the rows in the files that `docs` is read from: each `caps.group` pieces that follow each
+    other are a group, and sequences are numbered by group, then by their earliest piece. The sequences of the first groups
+    hold exactly the first pieces; inside a group, best fit brings pieces together that stand apart.
     """
     if caps.tokens**2 > caps.cost or caps.pieces < 1:
         raise ValueError("a whole sequence must be within the capacities")
-    pieces = checkpointed(pieces_of(docs, tokenizer, caps.tokens).withColumn("_row", F.monotonically_increasing_id()))
-    whole = pieces.where(F.col("length") == caps.tokens)
-    rest = pieces.where(F.col("length") < caps.tokens)
-    groups = max(1, -(-rest.count() // caps.group))
+
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "_row"], ascending=[False, True])
         bins, offsets = best_fit(frame["length"].to_numpy(np.int64), caps)
+        if in_order:
+            earliest = frame["_row"].groupby(bins).min().sort_index()
+            bins = earliest.rank().to_numpy(np.int64)[bins] - 1
         frame["sequence_id"] = (frame["_group"].to_numpy(np.int64) << 32) + bins
         frame["offset"] = offsets
         return frame[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
     kind = docs.schema["doc_id"].dataType
     schema = "doc_id string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    dealt = rest.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
+
+    def fill(dealt: DataFrame) -> DataFrame:
+        filled = dealt.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("_group").applyInPandas(packed, schema)
+        return filled.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+    if in_order:
+        place = ("_part", "_file", "_at")
+        pieces = numbered(pieces_of(stored_places(docs), tokenizer, caps.tokens, place), (*place, "piece"))
+        return fill(pieces.withColumn("_group", F.floor(F.col("_row") / caps.group)))
+    pieces = checkpointed(pieces_of(docs, tokenizer, caps.tokens).withColumn("_row", F.monotonically_increasing_id()))
+    whole = pieces.where(F.col("length") == caps.tokens)
+    rest = pieces.where(F.col("length") < caps.tokens)
+    groups = max(1, -(-rest.count() // caps.group))
     alone = whole.select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    filled = dealt.groupBy("_group").applyInPandas(packed, schema)
-    return alone.unionByName(filled.withColumn("doc_id", F.col("doc_id").cast(kind)))
+    return alone.unionByName(fill(rest.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))))

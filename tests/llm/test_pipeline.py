@@ -30,6 +30,31 @@ def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
     assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in clean.collect()}
 
 
+def test_sequences_follow_the_mixture(spark, tmp_path):
+    rows = {"a": 12_000, "b": 6_000, "c": 2_000}
+    docs = spark.createDataFrame(
+        [(f"{s}{i}", s, f"{s} text {i} " + "word " * (i % 50 if s == "a" else 9), 1) for s, n in rows.items() for i in range(n)],
+        "doc_id string, source string, text string, n_chars int",
+    )
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    mixed.write.parquet(str(tmp_path / "mixed"))
+    order = [r.doc_id for r in mixed.collect()]
+    found = corpus_pipeline.pack(spark, spark.read.parquet(str(tmp_path / "mixed")), SF).collect()
+    assert sorted(r.doc_id for r in found) == sorted(order)
+    group = {r.doc_id: r.sequence_id >> 32 for r in found}
+    assert [group[d] for d in order] == [i // 8192 for i in range(len(order))]
+    earliest = {}
+    for r in found:
+        earliest.setdefault(r.sequence_id, set()).add(r.doc_id)
+    place = {d: i for i, d in enumerate(order)}
+    firsts = [min(map(place.get, earliest[s])) for s in sorted(earliest)]
+    assert firsts == sorted(firsts)
+    total = sum(n**0.5 for n in rows.values())
+    for s, n in rows.items():
+        share = sum(d[0] == s for d, g in group.items() if g == 0) / 8192
+        assert abs(share - n**0.5 / total) <= 2 * 64 / 8192
+
+
 def test_an_empty_table_goes_through(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:

@@ -16,6 +16,8 @@ from countyloom.llm.vectors import matrix, takes_part, usable
 
 #: Leading bits of a key that name the bucket in which its rows are numbered.
 BUCKET_BITS = 10
+#: What names a cell of link counts.
+CELL = ("batch", "cell_part", "cell_i", "cell_j")
 
 
 @dataclass(frozen=True)
@@ -93,18 +95,31 @@ def _neighbour_links(blocks: DataFrame, settings: Settings) -> DataFrame:
     return blocks.groupBy("dim", "turn", "block").applyInPandas(compare, "a long, b long").distinct()
 
 
-def _link_counts(members: DataFrame, settings: Settings) -> DataFrame:
-    """(same, links): for each class, how many vectors of other classes in its component it links with.
+def _cells(members: DataFrame, settings: Settings) -> DataFrame:
+    """The rows that `asks` and those they are compared with, by the columns of CELL.
 
     `members` holds same, vector, dim, n (its vectors), part (its component). Large components are cut into chunks, and
-    each pair of chunks is a cell; only counts leave a cell.
+    each pair of chunks is a cell of its own, of about two chunks whatever the component's size; only components of one
+    chunk share a `batch`.
     """
     sizes = checkpointed(members.groupBy("part").agg(F.count("*").alias("size")))
     cut = members.join(sizes, "part").withColumn("chunks", F.ceil(F.col("size") / settings.block_rows).cast("int"))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("same"), "chunks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    left = cut.withColumn("other", other).select("part", F.col("own").alias("i"), F.col("other").alias("j"), "same", "vector", "dim", "n", F.lit(True).alias("asks"))
-    right = cut.withColumn("other", other).select("part", F.col("other").alias("i"), F.col("own").alias("j"), "same", "vector", "dim", "n", F.lit(False).alias("asks"))
+    left = cut.withColumn("other", other).select("part", F.col("own").alias("i"), F.col("other").alias("j"), "same", "vector", "dim", "n", "chunks", F.lit(True).alias("asks"))
+    right = cut.withColumn("other", other).select("part", F.col("other").alias("i"), F.col("own").alias("j"), "same", "vector", "dim", "n", "chunks", F.lit(False).alias("asks"))
+    one = F.col("chunks") == 1
+    batches = sizes.where(F.col("size") <= settings.block_rows).agg(F.sum("size")).first()[0] or 0
+    batch = F.when(one, F.pmod(F.xxhash64("part"), F.lit(max(1, -(-batches // settings.block_rows)))))
+    named = left.unionByName(right).withColumn("batch", batch)
+    return named.withColumns({f"cell_{c}": F.when(~one, F.col(c)) for c in ("part", "i", "j")})
+
+
+def _link_counts(members: DataFrame, settings: Settings) -> DataFrame:
+    """(same, links): for each class, how many vectors of other classes in its component it links with.
+
+    Only counts leave a cell.
+    """
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -115,10 +130,7 @@ def _link_counts(members: DataFrame, settings: Settings) -> DataFrame:
             out.append(pd.DataFrame({"same": names[asks], "links": linked @ n[~asks]}))
         return pd.concat(out)
 
-    both = left.unionByName(right)
-    groups = max(1, -(-members.count() // settings.block_rows))
-    dealt = both.withColumn("group", F.pmod(F.xxhash64("part", "i", "j"), F.lit(groups)))
-    return dealt.groupBy("group").applyInPandas(count, "same long, links long").groupBy("same").agg(F.sum("links").alias("links"))
+    return _cells(members, settings).groupBy(*CELL).applyInPandas(count, "same long, links long").groupBy("same").agg(F.sum("links").alias("links"))
 
 
 def dedup(table: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -152,6 +152,16 @@ def test_passes_find_all_links(spark, settings):
     assert vector_dedup.dedup(frame.where("false")).count() == 0
 
 
+def test_a_task_holds_one_cell_of_a_large_component(spark):
+    settings = vector_dedup.Settings(block_rows=16)
+    rows = [(i, [1.0, float(i)], 2, 1, 7) for i in range(800)] + [(1000 + i, [1.0, 0.0], 2, 1, 100 + i // 2) for i in range(200)]
+    members = spark.createDataFrame(rows, "same long, vector array<float>, dim int, n long, part long")
+    cells = vector_dedup._cells(members, settings).groupBy(*vector_dedup.CELL).count().toPandas()
+    large = cells[cells["cell_part"].notna()]
+    assert len(large) == 50 * 50 and large["count"].sum() == 2 * 800 * 50 and large["count"].max() <= 6 * 16
+    assert 5 < (len(cells) - len(large)) < 14 and cells["count"].sum() - large["count"].sum() == 2 * 200
+
+
 def test_cascade_is_exact_and_urls_follow_the_rules(spark):
     universe = spark.range(20_000).select(*url_cascade.fingerprint(F.col("id").cast("string")))
     listed = spark.range(0, 20_000, 7).select(*url_cascade.fingerprint(F.col("id").cast("string")))

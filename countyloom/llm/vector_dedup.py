@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ CELL = ("batch", "cell_part", "cell_i", "cell_j")
 
 @dataclass(frozen=True)
 class Settings:
-    """`passes` orders by `bits` random planes each; every vector is compared with the next `window` ones of each order."""
+    """A round is `passes` orders by `bits` random planes each; every vector is compared with the next `window` ones of each."""
 
     cosine: float = 0.95
     passes: int = 24
@@ -37,13 +38,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _keys(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(same, vector, dim, turn, key): the concatenated plane sides of each vector in every pass."""
+def _keys(classes: DataFrame, settings: Settings, again: int = 0) -> DataFrame:
+    """(same, vector, dim, turn, key): the concatenated plane sides of each vector in every pass of round `again`."""
+    seed = [settings.seed, again] if again else settings.seed
 
     def hash_(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for dim, part in frame.groupby("dim"):
-                planes = np.random.default_rng(settings.seed).normal(size=(settings.passes, int(dim), settings.bits))
+                planes = np.random.default_rng(seed).normal(size=(settings.passes, int(dim), settings.bits))
                 weights = 1 << np.arange(settings.bits - 1, -1, -1, dtype=np.int64)
                 unit = _unit(matrix(part["vector"], int(dim)))
                 for turn, own in enumerate(planes):
@@ -95,6 +97,29 @@ def _neighbour_links(blocks: DataFrame, settings: Settings) -> DataFrame:
     return blocks.groupBy("dim", "turn", "block").applyInPandas(compare, "a long, b long").distinct()
 
 
+def _across(links: DataFrame, known: DataFrame) -> DataFrame:
+    """The links whose ends are not in one component yet."""
+    for end in ("a", "b"):
+        named = known.select(F.col("node").alias(end), F.col("component").alias(f"part_{end}"))
+        links = links.join(named, end, "left").withColumn(f"part_{end}", F.coalesce(f"part_{end}", end))
+    return links.where("part_a <> part_b").select("a", "b")
+
+
+def _joined(classes: DataFrame, settings: Settings) -> DataFrame:
+    """(node, component) of the classes that links join, from rounds of passes with fresh planes.
+
+    Where many vectors lie close together a window holds few of a vector's neighbours, so a round finds only a part of the
+    links. The rounds end with the first one that joins no further components.
+    """
+    known = checkpointed(components(checkpointed(_neighbour_links(_blocks(_keys(classes, settings), settings), settings))))
+    for again in count(1):
+        links = _neighbour_links(_blocks(_keys(classes, settings, again), settings), settings)
+        new = checkpointed(_across(links, known))
+        if new.isEmpty():
+            return known
+        known = checkpointed(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)))
+
+
 def _cells(members: DataFrame, settings: Settings) -> DataFrame:
     """The rows that `asks` and those they are compared with, by the columns of CELL.
 
@@ -121,7 +146,7 @@ def _link_counts(members: DataFrame, settings: Settings) -> DataFrame:
     Only counts leave a cell.
     """
 
-    def count(frame: pd.DataFrame) -> pd.DataFrame:
+    def counted(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, cell in frame.groupby(["part", "i", "j"]):
             asks = cell["asks"].to_numpy()
@@ -130,14 +155,14 @@ def _link_counts(members: DataFrame, settings: Settings) -> DataFrame:
             out.append(pd.DataFrame({"same": names[asks], "links": linked @ n[~asks]}))
         return pd.concat(out)
 
-    return _cells(members, settings).groupBy(*CELL).applyInPandas(count, "same long, links long").groupBy("same").agg(F.sum("links").alias("links"))
+    return _cells(members, settings).groupBy(*CELL).applyInPandas(counted, "same long, links long").groupBy("same").agg(F.sum("links").alias("links"))
 
 
 def dedup(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """A row a vector: vec_id, n_links, component_id, kept.
 
     Equal vectors are one class and linked with each other; classes are compared in the windows of all passes, in double
-    precision, and the verified pairs of all passes are united. `n_links` counts every vector of the component at the
+    precision, and the verified pairs of all passes are united; rounds of passes follow until one joins nothing more. `n_links` counts every vector of the component at the
     cosine or above, whether or not a window brought the two together. Vectors that are null, empty, zero or not finite,
     and rows without an id, link with nothing and are their own component; vectors of different lengths never meet. Repeated
     rows link with each other and share their id. An empty table gives no rows.
@@ -145,7 +170,7 @@ def dedup(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows = usable(table)
     first = rows.groupBy("same", "dim").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"))
     classes = checkpointed(first.join(rows.select("vec_id", "same", "vector"), ["same"]).where("vec_id = least").dropDuplicates(["same"]).drop("vec_id"))
-    known = components(checkpointed(_neighbour_links(_blocks(_keys(classes, settings), settings), settings)))
+    known = _joined(classes, settings)
     joined = classes.join(known, classes["same"] == known["node"]).select("same", "vector", "dim", "n", "least", F.col("component").alias("part"))
     joined = checkpointed(joined)
     counts = _link_counts(joined.drop("least"), settings)

@@ -152,6 +152,25 @@ def test_passes_find_all_links(spark, settings):
     assert vector_dedup.dedup(frame.where("false")).count() == 0
 
 
+def test_rounds_find_the_links_of_a_dense_topic(spark):
+    """A third of all rows share a topic at cosine 0.8; each of them has a near copy at cosine 0.96."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: (lambda v: v / np.linalg.norm(v, axis=1, keepdims=True))(rng.normal(size=(n, 64)))
+    topic = 0.8**0.5 * draw(1) + 0.2**0.5 * draw(500)
+    near = 0.96 * topic + (1 - 0.96**2) ** 0.5 * draw(500)
+    unit = np.concatenate([topic, near, draw(2000)]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(unit.tolist())], "vec_id long, embedding array<float>")
+    settings = vector_dedup.Settings(passes=8, window=6)
+    double = unit.astype(np.float64)
+    double /= np.linalg.norm(double, axis=1, keepdims=True)
+    links = double @ double.T >= settings.cosine
+    rows = vector_dedup.usable(frame).select("same", "vector", "dim")
+    once = components(vector_dedup._neighbour_links(vector_dedup._blocks(vector_dedup._keys(rows, settings), settings), settings)).count()
+    found = {r.vec_id: r for r in vector_dedup.dedup(frame, settings).collect()}
+    assert once < (links.sum(axis=1) > 1).sum()
+    assert [found[i].n_links for i in range(len(unit))] == (links.sum(axis=1) - 1).tolist()
+
+
 def test_a_task_holds_one_cell_of_a_large_component(spark):
     settings = vector_dedup.Settings(block_rows=16)
     rows = [(i, [1.0, float(i)], 2, 1, 7) for i in range(800)] + [(1000 + i, [1.0, 0.0], 2, 1, 100 + i // 2) for i in range(200)]

@@ -22,6 +22,8 @@ COUNT_BITS, CHUNK = 20, 1 << 16
 MARK_BITS = 11
 #: Classes that a worker remembers, so that copies in its own split are sent once.
 REMEMBERED = 200_000
+#: Classes in a chunk; links are counted in cells of two chunks.
+CELL_CLASSES = 256
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -326,13 +328,62 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def join_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def _linked(asks: list[np.ndarray], others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each set of `asks` links with each of `others`."""
+    sizes = np.array([len(s) for s in others], np.int64)
+    tokens, owners = np.concatenate(others), np.repeat(np.arange(len(others)), sizes)
+    by_token = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[by_token], owners[by_token]
+    out = np.empty((len(asks), len(others)), bool)
+    for k, s in enumerate(asks):
+        first, last = np.searchsorted(tokens, s), np.searchsorted(tokens, s, side="right")
+        found = np.repeat(first - np.concatenate(([0], np.cumsum(last - first)[:-1])), last - first) + np.arange((last - first).sum())
+        shared = np.bincount(owners[found], minlength=len(others))
+        out[k] = 100 * shared >= percent * (len(s) + sizes - shared)
+    return out
+
+
+def link_counts(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
+    """(class, links): with how many documents of other classes those of a class link.
+
+    `members` holds class, n (its documents), part (its component). Links never leave a component, so all pairs of one are
+    compared, in cells of two chunks; only counts leave a cell.
+    """
+    sizes = checkpointed(members.groupBy("part").agg(F.count("*").alias("classes")).where("classes > 1"))
+    cut = members.join(sizes, "part").withColumn("chunks", F.ceil(F.col("classes") / CELL_CLASSES).cast("int"))
+    cut = checkpointed(cut.withColumn("own", F.pmod(F.xxhash64(F.lit("cell"), "class"), "chunks").cast("int")))
+    sets = cut.join(fetched(docs, cut.select("class"), settings).select("class", "shingles"), "class")
+    sets = checkpointed(sets).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    kept = ("part", "chunks", "class", "n", "shingles")
+    left = sets.select(*kept, F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("asks"))
+    right = sets.select(*kept, F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"))
+    batches = max(1, -(-cut.where("chunks = 1").count() // CELL_CLASSES))
+    one = F.col("chunks") == 1
+    dealt = left.unionByName(right).withColumn("batch", F.when(one, F.pmod(F.xxhash64("part"), F.lit(batches))))
+    dealt = dealt.withColumns({f"cell_{c}": F.when(~one, F.col(c)) for c in ("part", "i", "j")})
+
+    def counted(frame: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"class": np.empty(0, np.int64), "links": np.empty(0, np.int64)})]
+        for _, cell in frame.groupby(["part", "i", "j"]):
+            asks, others = cell[cell["asks"]], cell[~cell["asks"]]
+            if len(asks) and len(others):
+                one, two = ([np.frombuffer(x, np.uint64) for x in c["shingles"]] for c in (asks, others))
+                linked = _linked(one, two, settings.percent) & (asks["class"].to_numpy()[:, None] != others["class"].to_numpy())
+                out.append(pd.DataFrame({"class": asks["class"].to_numpy(), "links": linked @ others["n"].to_numpy()}))
+        return pd.concat(out)
+
+    found = dealt.groupBy("batch", "cell_part", "cell_i", "cell_j").applyInPandas(counted, "class long, links long")
+    return found.groupBy("class").agg(F.sum("links").alias("links"))
+
+
+def join_documents(docs: DataFrame, settings: Settings = Settings(), count_links: bool = False) -> DataFrame:
     """A row a document: doc_id, n_shingles, component_id, and class, which equal sets share.
 
     component_id is the least doc_id that links reach; documents with the same set are linked, those without words are
     alone. Null ids link others but are never the least; a component of null ids has a null component_id. Repeated rows
-    give repeated rows. Links inside a component that are not needed to join it are not all looked at, so they aren't
-    counted; no candidate between components is left out. An empty table gives no rows.
+    give repeated rows. No candidate between components is left out; those inside one are not needed to join it. With
+    `count_links`, n_links says with how many other documents each one links: all pairs inside the components are compared
+    then. An empty table gives no rows.
     """
     read = checkpointed(read_sets(docs, settings))
     named = read.where("chunk is null").select("doc_id", "n_shingles", "class")
@@ -351,14 +402,20 @@ def join_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     rest = checkpointed(rest.join(near, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         known = components(links.unionByName(links_of(docs, rest, settings)))
-    classes = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    parts = classes.join(known, classes["class"] == known["node"], "left").select("class", "least", F.coalesce("component", "class").alias("part"))
+    classes = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    parts = classes.join(known, classes["class"] == known["node"], "left").select("class", "least", "n", F.coalesce("component", "class").alias("part"))
     parts = checkpointed(parts)
     least = parts.groupBy("part").agg(F.min("least").alias("component_id"))
-    whole = checkpointed(parts.join(least, "part").select(F.col("class").alias("_class"), "component_id"))
+    whole, more = parts.join(least, "part").select(F.col("class").alias("_class"), "component_id", "n"), []
+    if count_links:
+        links = link_counts(docs, parts.select("class", "n", "part"), settings)
+        whole = whole.join(links, F.col("_class") == links["class"], "left").drop("class")
+        whole = whole.withColumn("_links", F.col("n") - 1 + F.coalesce("links", F.lit(0)))
+        more = [F.coalesce("_links", F.lit(0)).alias("n_links")]
+    whole = checkpointed(whole)
     found = named.join(whole, (F.col("class") == F.col("_class")) & (F.col("n_shingles") > 0), "left")
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", alone.alias("component_id"), "class")
+    return found.select("doc_id", "n_shingles", alone.alias("component_id"), "class", *more)
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

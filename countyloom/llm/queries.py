@@ -56,7 +56,7 @@ def op4_pfair_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join_documents(table(spark, sf_dir, "documents")).drop("class")
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents"), count_links=True).drop("class")
 
 
 def op6_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,6 +310,18 @@ def test_join_equals_brute_force(spark, odd, none, list_rows):
     assert jaccard_join.join_documents(none, settings).count() == 0
 
 
+def test_every_link_is_counted(spark, odd, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CELL_CLASSES", 8)
+    words = [f"w{i}" for i in range(40)]
+    near = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1 :])) for i in range(40)] + [(50, " ".join(words)), (51, " ".join(words))]
+    for table in (spark.createDataFrame(near, "doc_id long, text string"), odd):
+        rows = [(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()]
+        sets = [set(s.tolist()) for s in jaccard_join.shingle_sets([t for _, t in rows], 5)]
+        links = [sum(i != j and 100 * len(a & b) >= 75 * len(a | b) > 0 for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+        found = jaccard_join.join_documents(table, count_links=True).collect()
+        assert sorted((str(r.doc_id), r.n_links) for r in found) == sorted((str(d), n) for (d, _), n in zip(rows, links, strict=True))
+
+
 def test_one_row_of_each_group_stays(spark, odd):
     kept = jaccard_join.keep_one(odd)
     assert kept.columns == odd.columns

@@ -54,12 +54,13 @@ def features(words: Words) -> list[np.ndarray]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list:
-    """At most `rows` labelled documents outside the held-out fold, as (text, label), in order of id."""
+    """At most `rows` labelled documents outside the held-out fold, as (id, text, label), in order of id; one text of each id."""
     chosen = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")
-    )
+    ).distinct()
     chosen = chosen.orderBy(F.xxhash64(F.lit("train"), "_id"), "_id", "_label").limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    found = found.groupBy("_id", "_label").agg(F.min("text").alias("text"))
     return sorted(((r._id, r.text or "", r._label) for r in found.collect()), key=lambda r: r)
 
 

@@ -115,17 +115,17 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
 def training_texts(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list[str], list[str], float]:
     """Confirmed toxic texts, unlabelled texts, and the share of toxic rows among the labelled ones outside the held-out fold.
 
-    Unlabelled texts are a hashed sample of all documents, whatever their labels, which are not looked at.
+    Unlabelled texts are a hashed sample of all documents, whatever their labels, which are not looked at. An id gives one text.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     share = known.agg(F.avg("toxic")).first()[0]
     order = F.xxhash64(F.lit("toxic"), "_id")
     toxic = known.where("toxic = 1").select(F.col("doc_id").alias("_id")).distinct().orderBy(order, "_id").limit(settings.positives)
-    found = docs.select("doc_id", "text").join(F.broadcast(toxic), F.col("doc_id") == F.col("_id"))
+    found = docs.select("doc_id", "text").join(F.broadcast(toxic), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text"))
     positive = [r.text or "" for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.text or ""))]
     picked = docs.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
     picked = picked.orderBy(F.xxhash64(F.lit("any"), "_id"), "_id").limit(settings.unlabelled)
-    found = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(F.min("text").alias("text"))
     unlabelled = [r.text or "" for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.text or ""))]
     least = settings.least_prior
     return positive, unlabelled, min(max(share if share is not None else least, least), 1 - least)

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from countyloom.llm import (
     ann_forest,
+    conversation_repair,
     jaccard_join,
+    license_scan,
     mixing,
     packing,
     quality,
+    ranked_search,
     secret_scan,
     sharding,
+    sql,
     toxicity,
     url_cascade,
     vector_dedup,
@@ -84,6 +88,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.digest(license_scan.scan(docs, license_scan.rank_words(docs)))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.digest(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_shards": op1_hash_tree_shards,
     "op2_hash_forest": op2_hash_forest,
@@ -95,28 +112,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_markov_secrets": op8_markov_secrets,
     "op9_vector_packing": op9_vector_packing,
     "op10_quality": op10_quality,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_license_scan": op12_license_scan,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 
-_OP3 = """
-WITH cut AS (
-  SELECT row_number() OVER () AS rid, page_id,
-    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
-  FROM pages
-), hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
-parts AS (
-  SELECT rid, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
-  FROM hosts
-), rules(verdict, h, p) AS (
-  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
-    ('block', 'net', '/es/'), ('block', 'net', '/fr/')
-)
-SELECT page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdict
-FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
-QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(h || p) DESC) = 1
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_cascade": _OP3}
+    return sql.statements()

@@ -38,5 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = mark
         now = checkpointed(_small(_large(now)))
+    else:
+        raise RuntimeError(f"components are not finished after {MOST_ROUNDS} rounds")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

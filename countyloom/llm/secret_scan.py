@@ -6,9 +6,10 @@ Everything here is DataFrame functions: spans come from the matches of a pattern
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The patterns of the base kinds, in the order in which spans at one place are listed.
@@ -26,29 +27,51 @@ STATES = len(LETTERS) + 1
 
 @dataclass(frozen=True)
 class Settings:
-    """`sample_rows` bounds the documents whose labelled strings are fitted: those whose hashed ids come first.
+    """`sample_rows` bounds the documents whose labelled strings are fitted: those whose hashed ids come first. `random_strings`
+    made-up ones stand beside them, so that both classes have samples at every size.
 
     A run of at least `least_length` identifier characters is a secret if its log-likelihood ratio is at least
     `least_ratio` nats for each pair of neighbouring characters.
     """
 
     sample_rows: int = 20_000
+    random_strings: int = 4_000
     least_length: int = 20
     least_ratio: float = 0.5
     smoothing: float = 0.5
 
 
+#: Matches that are listed in one go. More are listed in blocks, so that time grows with the matches, not with their square.
+BLOCK = 256
+
+
 def _empty() -> Column:
     return F.array().cast("array<struct<start:int,kind:int,end:int,body:string>>")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, though `use` names it in a lambda of its own."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _in_blocks(items: Column) -> Column:
+    """An array as an array of arrays of at most BLOCK items; one empty block for none."""
+
+    def cut(held: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(held), F.lit(1)), F.lit(BLOCK))
+        return F.transform(firsts, lambda at: F.slice(held, at, BLOCK))
+
+    return _once(items, cut)
+
+
 def _spans(text: str, pattern: str, kind: int) -> Column:
     """Leftmost non-overlapping matches as (start, kind, end, matched text), in code points.
 
-    The text is cut at its matches; a match starts after the gaps and matches before it.
+    The text is cut at its matches; a match starts after the gaps and matches before it. Blocks of matches are placed first.
     """
     matches = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
     gaps = F.split(F.col(text), pattern, -1)
+    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("body"), g.alias("gap")))
 
     def step(found: Column, pair: Column) -> Column:
         start = (found["at"] + F.length(pair["gap"])).cast("int")
@@ -56,8 +79,23 @@ def _spans(text: str, pattern: str, kind: int) -> Column:
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["body"].alias("body"))
         return F.struct(end.alias("at"), F.concat(found["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("body"), g.alias("gap")))
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), _empty().alias("spans")), step, lambda f: f["spans"])
+    def listed_from(at: Column, block: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), _empty().alias("spans")), step, lambda f: f["spans"])
+
+    sized = F.transform(
+        _in_blocks(pairs),
+        lambda block: F.struct(
+            block.alias("pairs"), F.aggregate(block, F.lit(0), lambda n, p: (n + F.length(p["gap"]) + F.length(p["body"])).cast("int")).alias("size")
+        ),
+    )
+
+    def place(placed: Column, block: Column) -> Column:
+        one = F.struct(placed["at"].alias("at"), block["pairs"].alias("pairs"))
+        return F.struct((placed["at"] + block["size"]).cast("int").alias("at"), F.concat(placed["blocks"], F.array(one)).alias("blocks"))
+
+    none = F.array().cast("array<struct<at:int,pairs:array<struct<body:string,gap:string>>>>")
+    blocks = F.aggregate(sized, F.struct(F.lit(0).alias("at"), none.alias("blocks")), place, lambda p: p["blocks"])
+    found = F.flatten(F.transform(blocks, lambda b: listed_from(b["at"], b["pairs"])))
     return F.when(F.col(text).rlike(pattern), found).otherwise(_empty())
 
 
@@ -70,21 +108,24 @@ def _base_spans(docs: DataFrame) -> DataFrame:
     return found.withColumn("_base", F.array_sort(F.concat(long, "_others"))).drop("_assign", "_others")
 
 
-def _pair(word: Column, i: Column) -> Column:
-    """Code of the characters i and i + 1 (from 1) of a word."""
-    first, second = (F.call_function("instr", F.lit(LETTERS), F.substring(word, j, F.lit(1))) for j in (i, i + 1))
-    return first * STATES + second
+def _pairs(word: Column) -> Column:
+    """Codes of all neighbouring characters of a word. The word is cut into characters once, however long it is."""
+    codes = F.transform(F.split(word, ""), lambda c: F.call_function("instr", F.lit(LETTERS), c))
+    return _once(codes, lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: a * STATES + b))
 
 
-def _spots(word: Column) -> Column:
-    return F.sequence(F.lit(1), F.length(word) - 1)
+def made_up(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Random strings by a fixed seed, labelled as such: digests in base64 and in letters and digits alone, of several lengths."""
+    digest = F.base64(F.unhex(F.sha2(F.concat(F.lit("random string "), F.col("id").cast("string")), 512)))
+    word = F.when(F.col("id") % 2 == 0, digest).otherwise(F.regexp_replace(digest, "[^A-Za-z0-9]", ""))
+    return spark.range(settings.random_strings).select(F.substring(word, F.lit(1), (F.lit(settings.least_length) + F.col("id") % 40).cast("int")).alias("word"))
 
 
 def train(docs: DataFrame, settings: Settings = Settings()) -> list[float] | None:
-    """Log-likelihood ratios of all pairs of neighbouring characters, random over ordinary; None if a class has no sample.
+    """Log-likelihood ratios of all pairs of neighbouring characters, random over ordinary; None without ordinary identifiers.
 
-    Labelled samples are those of a bounded, hashed set of documents: values found by the fixed patterns are random
-    strings; the identifiers left when these are cut out are ordinary. At most one row a pair of characters is collected.
+    Random strings are made up, and are the values that the fixed patterns find in a bounded, hashed set of documents; the
+    identifiers left there when these are cut out are ordinary. At most one row a pair of characters is collected.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     picked = texts.select(F.col("doc_id").alias("_id")).distinct()
@@ -95,8 +136,9 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> list[float] | Non
     )
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("_text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     ordinary = sample.select(F.explode(F.regexp_extract_all(rest, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("word"), F.lit(0).alias("random"))
-    words = random.unionByName(ordinary).groupBy("word", "random").count()
-    counts = words.select("random", "count", F.explode(F.transform(_spots(F.col("word")), lambda i: _pair(F.col("word"), i))).alias("pair")).groupBy("random", "pair").agg(F.sum("count").alias("n"))
+    random = random.unionByName(made_up(docs.sparkSession, settings).withColumn("random", F.lit(1)))
+    words = random.unionByName(ordinary).where(F.length("word") > 1).groupBy("word", "random").count()
+    counts = words.select("random", "count", F.explode(_pairs(F.col("word"))).alias("pair")).groupBy("random", "pair").agg(F.sum("count").alias("n"))
     tables = [[0] * (STATES * STATES) for _ in range(2)]
     for row in counts.collect():
         tables[row["random"]][row["pair"]] = row["n"]
@@ -124,14 +166,20 @@ def scan(docs: DataFrame, ratios: list[float] | None, settings: Settings = Setti
     runs = f"[A-Za-z0-9+/_=-]{{{settings.least_length},}}"
     found = found.withColumn("_runs", _spans("_text", runs, len(BASE_KINDS)))
 
-    def free(run: Column) -> Column:
-        return ~F.exists("_base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-
     def random(run: Column) -> Column:
-        total = F.aggregate(_spots(run["body"]), F.lit(0.0), lambda t, i: t + F.get(table, _pair(run["body"], i)))
+        total = F.aggregate(_pairs(run["body"]), F.lit(0.0), lambda t, p: t + F.get(table, p))
         return total >= settings.least_ratio * (F.length(run["body"]) - 1)
 
-    more = F.filter("_runs", lambda r: free(r) & random(r))
+    def chosen(block: Column, near: Column) -> Column:
+        free = lambda r: ~F.exists(near, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
+        return F.filter(block, lambda r: free(r) & random(r))
+
+    def of_block(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0))["start"], F.element_at(block, -1)["end"]
+        near = F.filter("_base", lambda b: (b["start"] < last) & (first < b["end"]))
+        return _once(near, lambda n: chosen(block, n))
+
+    more = F.flatten(F.transform(_in_blocks(F.col("_runs")), of_block))
     spans = F.when(F.size("_runs") > 0, F.array_sort(F.concat("_base", more))).otherwise(F.col("_base"))
     return found.withColumn("_spans", spans).drop("_runs", "_text")
 

@@ -131,10 +131,10 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
-def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All rules that could fit: each suffix of the host at a dot with each path start of a rule's length, longest first."""
-    labels = F.split(host, "\\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def keys_of(host: Column, path: Column, lengths: list[int], labels: list[int]) -> Column:
+    """All rules that could fit: ends of the host of as many labels as a rule has, each with each path start, longest first."""
+    parts = F.split(host, "\\.")
+    suffixes = F.filter(F.array(*[F.when(F.size(parts) >= n, F.array_join(F.slice(parts, -n, n), ".")) for n in labels]), lambda s: s.isNotNull())
     starts = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths])
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(F.filter(starts, lambda p: p.isNotNull()), lambda p: F.concat(s, p))))
     ordered = F.array_sort(F.transform(F.array_distinct(keys), lambda k: F.struct((-F.length(k)).alias("order"), k.alias("key"))))
@@ -150,7 +150,8 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFr
     spark = pages.sparkSession
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    asked = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), sorted({len(r.path) for r in rules})))
+    lengths, labels = sorted({len(r.path) for r in rules}), sorted({r.host.count(".") + 1 for r in rules})
+    asked = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths, labels))
     universe = asked.select(F.explode("keys").alias("key")).distinct().select(*fingerprint(F.col("key")))
     table = spark.createDataFrame([(r.key, r.verdict) for r in rules], "key string, verdict string")
     listed = build_cascade(table.select(*fingerprint(F.col("key"))), universe)

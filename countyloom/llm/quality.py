@@ -53,15 +53,14 @@ def features(words: Words) -> list[np.ndarray]:
     return [np.concatenate([x[c[i] : c[i + 1]] for x, c in zip(ids, cuts, strict=True)]) for i in range(words.count)]
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list:
-    """At most `rows` labelled documents outside the held-out fold, as (id, text, label), in order of id; one text of each id."""
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """At most `rows` labelled documents outside the held-out fold, as (_id, _label, text); one text of each id."""
     chosen = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")
     ).distinct()
     chosen = chosen.orderBy(F.xxhash64(F.lit("train"), "_id"), "_id", "_label").limit(rows)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    found = found.groupBy("_id", "_label").agg(F.min("text").alias("text"))
-    return sorted(((r._id, r.text or "", r._label) for r in found.collect()), key=lambda r: r)
+    return found.groupBy("_id", "_label").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
 
 
 def fit(samples: list[tuple[str, int]], settings: Settings) -> Model:
@@ -78,7 +77,7 @@ def fit(samples: list[tuple[str, int]], settings: Settings) -> Model:
     for a, b in text_blocks(texts):
         for f in features(Words(texts[a:b])):
             ids, counts = np.unique(f, return_counts=True)
-            sparse.append((ids, (counts / max(1, counts.sum())).astype(np.float32)[:, None]))
+            sparse.append((ids.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)[:, None]))
     rng = np.random.default_rng(settings.seed)
     vectors = rng.uniform(-1, 1, (SIZE, settings.dim)).astype(np.float32) / settings.dim
     weights, bias = np.zeros((2, settings.dim), np.float32), np.zeros(2, np.float32)
@@ -103,8 +102,18 @@ def fit(samples: list[tuple[str, int]], settings: Settings) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    found = training_rows(docs, labels, "quality", settings.train_rows)
-    return fit([(text, label) for _, text, label in found], settings)
+    """The model of the bounded sample, fitted in one task, in order of id; the driver gets what scoring needs, 1 MB."""
+
+    def fitted(frames):
+        samples = sorted(s for f in frames for s in zip(f["_id"].tolist(), f["text"].tolist(), f["_label"].tolist(), strict=True))
+        model = fit([(text, label) for _, text, label in samples], settings)
+        yield pd.DataFrame({"odds": [model.odds.astype("<f4").tobytes()], "bias": [model.bias]})
+
+    sample = training_rows(docs, labels, "quality", settings.train_rows)
+    found = sample.repartition(1).mapInPandas(fitted, "odds binary, bias double").first()
+    if found is None:  # an empty sample may have no task at all
+        return fit([], settings)
+    return Model(np.frombuffer(found["odds"], "<f4"), found["bias"])
 
 
 def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:

@@ -464,7 +464,7 @@ def test_classifiers_learn_and_keep_their_folds(spark, odd, none):
 def test_a_repeated_id_is_fitted_once(spark):
     docs = spark.range(600).select(F.when(F.col("id") < 500, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
     labels = docs.select("doc_id").distinct().select("doc_id", F.lit(1).alias("quality"), F.lit(1).alias("toxic"))
-    ids = [r[0] for r in quality.training_rows(docs, labels, "quality", 200)]
+    ids = [r[0] for r in quality.training_rows(docs, labels, "quality", 200).collect()]
     assert len(ids) == len(set(ids)) > 50
     positive, unlabelled, _ = toxicity.training_texts(docs, labels, toxicity.Settings())
     assert len(positive) == len(unlabelled) == len(ids)

@@ -1,10 +1,10 @@
 """Grouped aggregation with exact medians that hold up when one group has a large share of all rows.
 
 The built-in median keeps the distinct values of a group in one buffer. That is the fastest plan for groups of
-ordinary size and is used for them. Groups above a row limit take another exact route: values are counted
-first, which collapses repeated values before the shuffle, then located through a histogram. The buckets of a
-group are ordered to find the one or two that hold the middle ranks, and only values in those buckets are
-ordered, so no task sees a whole group.
+ordinary size and is used for them. Groups above a row limit take another exact route, radix selection: values are
+counted first, which collapses repeated values before the shuffle; then the bits of the middle values are found from the
+top, some at a time, by counting the values behind each choice of the next bits. No task sees a whole group, however
+close together its values lie.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ LARGE_GROUP = 100_000
 # Keys of large groups are broadcast up to this many; beyond it the join is left to the optimizer.
 BROADCAST_KEYS = 20_000
 
-# Histogram buckets per factor of e. A bucket is about 1.6 % wide, so amounts up to 10^10 fill at most
-# 1,500 buckets, and the whole double range 91,000.
-BUCKETS_PER_E = 64
+# Bits of a value that are decided in a round, so that a round has at most 2^13 choices for a group; and the number of
+# distinct values left below which they are ordered instead.
+RADIX_BITS = 13
+FEW_VALUES = 4096
 
 # Group keys travel as one struct: a struct with null fields is a value like any other, equal to itself, so nulls group and
 # join like the rest, and plans keep plain equi-joins that reuse the grouping's partitions.
@@ -42,14 +43,15 @@ def unpacked(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], *others)
 
 
-def bucket_of(value: Column) -> Column:
-    """Order-preserving histogram bucket of a number; logarithmic, symmetric around zero."""
-    v = value.cast("double")
-    return F.signum(v) * F.rint(F.log1p(F.abs(v)) * BUCKETS_PER_E)
+def ordered_bits(value: Column) -> Column:
+    """The bits of a double as a long that has the order of the numbers: infinities at the ends, NaN above them, one zero."""
+    plain = value.cast("double") + F.lit(0.0)  # -0.0 + 0.0 is 0.0
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("bigint")
+    return F.when(value.isNotNull(), F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1))))
 
 
 def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Exact median of `value` per group by histogram, as (keys..., name); null keys are keys.
+    """Exact median of `value` per group by radix selection, as (keys..., name); null keys are keys. Runs a job a round.
 
     Groups without a value do not appear.
     """
@@ -57,43 +59,50 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: str, name: str)
 
 
 def _median_by_key(rows: DataFrame, value: str, name: str) -> DataFrame:
+    ensure_checkpoint_dir(rows.sparkSession)
     counts = (
-        rows.select(KEY, bucket_of(F.col(value)).alias("_bucket"), F.col(value).alias("_value"))
-        .where(F.col("_bucket").isNotNull() & F.col("_value").isNotNull())
-        .groupBy(KEY, "_bucket", "_value")
+        rows.select(KEY, F.col(value).cast("double").alias("_value"))
+        .where(F.col("_value").isNotNull())
+        .groupBy(KEY, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bits", ordered_bits(F.col("_value")))
+        .checkpoint()
     )
-    in_group = Window.partitionBy(KEY)
-    total, upto = F.col("_total"), F.col("_upto")
-    middle = (
-        counts.groupBy(KEY, "_bucket")
-        .agg(F.sum("_n").alias("_in_bucket"))
-        .withColumns(
-            {
-                "_total": F.sum("_in_bucket").over(in_group),
-                "_upto": F.sum("_in_bucket").over(in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)),
-            }
-        )
-        .withColumns(
-            {
-                "_low": F.floor((total + 1) / 2),
-                "_high": F.floor(total / 2) + 1,
-                "_before": upto - F.col("_in_bucket"),
-            }
+    # A row for each middle rank of a group (two, if its values are even in number): which values can still have it.
+    totals = counts.groupBy(KEY).agg(F.sum("_n").alias("_total"))
+    ranks = F.array_distinct(F.array(F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1))
+    sought = totals.select(KEY, F.explode(ranks).alias("_middle")).withColumn("_rank", F.col("_middle")).withColumn("_prefix", F.lit(0)).checkpoint()
+    known, in_rank = 0, Window.partitionBy(KEY, "_middle")
+    while known < 64:
+        before, known = known, min(64, known + RADIX_BITS)
+        upto = F.sum("_n").over(in_rank.orderBy("_next").rowsBetween(Window.unboundedPreceding, 0))
+        sought = (
+            _behind(counts, sought, before)
+            .groupBy(KEY, "_middle", "_rank", F.shiftright("_bits", 64 - known).alias("_next"))
+            .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_values"))
+            .withColumn("_upto", upto)
+            .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+            .select(KEY, "_middle", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"), F.col("_next").alias("_prefix"), "_values")
+            .checkpoint()
         )
-        .where((upto >= F.col("_low")) & (F.col("_before") < F.col("_high")))
-        .select(KEY, "_bucket", "_before", "_low", "_high")
+        most = sought.agg(F.max("_values")).first()[0]
+        if most is None or most <= FEW_VALUES:
+            break
+    upto = F.sum("_n").over(in_rank.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = (
+        _behind(counts, sought, known)
+        .withColumn("_upto", upto)
+        .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
     )
+    return chosen.groupBy(KEY).agg(halfway(F.min("_value"), F.max("_value")).alias(name))
 
-    in_bucket = Window.partitionBy(KEY, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    low, high = F.min("_value").cast("double"), F.max("_value").cast("double")
-    return (
-        counts.join(middle, [KEY, "_bucket"])
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_bucket))
-        .where((upto >= F.col("_low")) & (upto - F.col("_n") < F.col("_high")))
-        .groupBy(KEY)
-        .agg(halfway(low, high).alias(name))
-    )
+
+def _behind(counts: DataFrame, sought: DataFrame, known: int) -> DataFrame:
+    """The counted values whose first `known` bits are those of a middle rank; all values of its group if none is known."""
+    wanted = _small(sought.select(KEY, "_middle", "_rank", "_prefix"), sought.count())
+    # Shifts of a long count modulo 64, so that none at all needs a form of its own.
+    prefix = F.shiftright("_bits", 64 - known) if known else F.lit(0)
+    return counts.withColumn("_prefix", prefix.cast("bigint")).join(wanted.withColumn("_prefix", F.col("_prefix").cast("bigint")), [KEY, "_prefix"])
 
 
 def halfway(low: Column, high: Column) -> Column:

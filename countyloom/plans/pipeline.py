@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from countyloom.operators.geography import code_cells, loan_years_geo, normalize
 from countyloom.plans import canonical, exports, panels, readiness, schema_audit
 from countyloom.schemas import KEY_VALUE
 from countyloom.sources.catalog import schema_rows
-from countyloom.sources.files import AnnualSource, read_ledger, read_published_csv
+from countyloom.sources.files import AnnualSource, dataset_tag, read_published_csv
 from countyloom.sources.storage import shared_folder
-from countyloom.streaming.arrivals import ingest, ledger_path
+from countyloom.sources.versions import current, write_version
+from countyloom.streaming.arrivals import ingest, stored_ledger
 
 
 class Run:
@@ -54,18 +56,36 @@ class Run:
 
     @property
     def ledger(self) -> DataFrame:
-        return read_ledger(self.spark, ledger_path(self.annual_root))
+        return stored_ledger(self.spark, self.annual_root)
 
     # stored tables
 
+    @cached_property
+    def tag(self) -> str:
+        """The state of the annual dataset when this run first looked; stored tables of another state are not taken."""
+        return dataset_tag(self.spark, self.annual_root)
+
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table written on first use; the folder is registered only after the write has committed."""
+        """A table written on first use. Another process with the same folders finds it, as long as the dataset is the same."""
         if name not in self._stored:
-            path = f"{self.root}/{name}"
-            build().write.mode("overwrite").option("compression", "zstd").parquet(path)
-            self._stored[name] = path
+            found = current(self.spark, f"{self.root}/{name}", self.tag)
+            self._stored[name] = found or self._write(name, build())
+        return self.spark.read.parquet(self._stored[name])
+
+    def stored_path(self, name: str) -> str:
+        return self._stored[name]
+
+    def rebuild(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Replaces a stored table. If the build or the write fails, the former version stays the table."""
+        self._stored[name] = self._write(name, build())
         return self.spark.read.parquet(self._stored[name])
 
+    def _write(self, name: str, frame: DataFrame) -> str:
+        def write(rows: DataFrame, path: str) -> None:
+            rows.write.option("compression", "zstd").parquet(path)
+
+        return write_version(frame, f"{self.root}/{name}", write, self.tag)
+
     @property
     def code_cells(self) -> DataFrame:
         return self.stored("code_cells", lambda: code_cells(self.loan_years))

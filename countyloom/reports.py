@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from countyloom.plans import canonical, exports, panels, profile, quality, readiness, schema_audit
 from countyloom.plans import geography_reports as geography
 from countyloom.plans.ingest import validation_report
+
 from countyloom.plans.pipeline import VOLATILE_LOG_KEYS, Run, build_log, start
-from countyloom.sources.catalog import catalog_objects
+from countyloom.plans.refresh import read_panel, refresh
+from countyloom.sources.catalog import catalog_objects, schema_rows
 from countyloom.sources.derived import write_raw_files
 from countyloom.sources.dimensions import action_metadata, state_crosswalk
+from countyloom.sources.drifted import write_drifted
 from countyloom.sources.files import AnnualSource
 from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest, revalidate
@@ -83,6 +86,44 @@ def _manifest(run: Run) -> DataFrame:
     return manifest.select("label", "table_name", "format", "compression", "status", "row_count", "error")
 
 
+def _drifted_schema(run: Run) -> DataFrame:
+    """Schema rows of a copy of the dataset in which columns change their type between and inside years."""
+
+    def build() -> DataFrame:
+        root = write_drifted(run.spark, run.annual_root, f"{run.root}/drifted", run.file_years)
+        return schema_rows(run.spark, root, run.file_years)
+
+    return run.stored("drifted_schema_rows", build)
+
+
+def _refreshed(run: Run) -> str:
+    """Panels that were built without the last two annual files and refreshed when these arrived; done once a run."""
+    root = f"{run.root}/refreshed"
+
+    def grow() -> DataFrame:
+        annual, changes = f"{run.root}/growing", []
+        for sources in (run.sources[:-2], run.sources):
+            ingest(run.spark, sources, annual)
+            changes.append(refresh(run.spark, annual, root))
+        return changes[-1]
+
+    run.stored("refreshed_years", grow)
+    return root
+
+
+def _refreshed_panel(name: str) -> Callable[[Run], DataFrame]:
+    return lambda run: read_panel(run.spark, _refreshed(run), name)
+
+
+def _refreshed_years(run: Run) -> DataFrame:
+    """The years that the arrival of the last two files rewrote, and the rows they now have."""
+    counts = read_panel(run.spark, _refreshed(run), "county_year_lending").groupBy("activity_year").agg(F.count(F.lit(1)).alias("panel_rows"))
+    rewritten = run.spark.read.parquet(run.stored_path("refreshed_years"))
+    return rewritten.join(counts, rewritten["activity_year"].eqNullSafe(counts["activity_year"]), "left").select(
+        rewritten["activity_year"], "reason", "panel_rows"
+    )
+
+
 def _published_counties(run: Run) -> DataFrame:
     return profile.county_rows(run.published("county_year_lending_csv"))
 
@@ -123,6 +164,10 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
         r.panel_rows, r.lender_county_year, r.lender_missing_lender, r.lender_missing_geo
     ),
     "lender_panel_missing_lender_by_year": lambda r: panels.missing_lender_by_year(r.lender_missing_lender),
+    "refreshed_county_year_lending": _refreshed_panel("county_year_lending"),
+    "refreshed_county_missing_geo": _refreshed_panel("county_missing_geo"),
+    "refreshed_lender_county_year": _refreshed_panel("lender_county_year"),
+    "refreshed_years": _refreshed_years,
     # quality of the loan rows
     "qa_row_reconciliation": lambda r: quality.row_reconciliation(r.code_cells, r.ledger),
     "qa_invalid_years": lambda r: quality.invalid_years(r.code_cells),
@@ -156,6 +201,13 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "schema_type_differences": lambda r: schema_audit.type_differences(_schema(r)),
     "schema_key_field_availability": lambda r: schema_audit.key_field_availability(r.spark, _schema(r)),
     "schema_audit_tables": lambda r: schema_audit.read_audit(r.spark, r.audit()),
+    "drift_schema_by_year": _drifted_schema,
+    "drift_years_for_column": lambda r: schema_audit.years_for_column(_drifted_schema(r)),
+    "drift_column_counts": lambda r: schema_audit.column_counts(_drifted_schema(r)),
+    "drift_common_columns": lambda r: schema_audit.common_columns(_drifted_schema(r)),
+    "drift_era_only_columns": lambda r: schema_audit.era_only_columns(_drifted_schema(r)),
+    "drift_type_differences": lambda r: schema_audit.type_differences(_drifted_schema(r)),
+    "drift_key_field_availability": lambda r: schema_audit.key_field_availability(r.spark, _drifted_schema(r)),
     "schema_ledger_summary": lambda r: schema_audit.ledger_summary(r.ledger),
     # exports and their profile
     "export_county_panel": lambda r: exports.county_export(r.county_year_lending, r.spark),

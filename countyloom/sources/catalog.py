@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from countyloom.schemas import POST_2018, PRE_2018
-from countyloom.sources.files import read_era, read_year
+from countyloom.sources.files import dataset_files, uniform_groups
 
-SCHEMA_ROWS = "activity_year int, column_name string, column_type string, nullable boolean"
+SCHEMA_ROWS = "activity_year int, column_name string, column_type string, nullable boolean, part int"
 
 OBJECT_ROWS = T.StructType(
     [
@@ -34,19 +33,33 @@ def _filled(rows: DataFrame) -> DataFrame:
 def schema_rows(spark: SparkSession, root: str, file_years: Iterable[int]) -> DataFrame:
     """(activity_year, column_name, column_type, nullable, non_null_rows) of every annual file.
 
-    Names and types come from the merged footers of all files of a year, a few dozen rows a year; counts of values from
-    one pass over each era.
+    A column that some files of a year store as one type and others as another has a row for each type. Names and types come
+    from footers, read in tasks; counts of values from one pass over the files of each distinct schema, read as they are.
     """
-    years = list(file_years)
-    rows = [
-        (year, f.name, f.dataType.simpleString(), f.nullable)
-        for year in years
-        for f in read_year(spark, root, year).schema.fields
-        if f.name != "file_year"
+    years = set(file_years)
+    by_year: dict[int, list[str]] = {}
+    for r in dataset_files(spark, root).orderBy("path").collect():  # metadata: a row a file
+        if r["file_year"] in years:
+            by_year.setdefault(r["file_year"], []).append(r["path"])
+    parts: dict[str, tuple[int, T.StructType, list[str]]] = {}
+    rows = []
+    for year, paths in sorted(by_year.items()):
+        for schema, group in uniform_groups(spark, root, paths):
+            number, _, files = parts.setdefault(schema.json(), (len(parts), schema, []))
+            files += group
+            rows += [(year, f.name, f.dataType.simpleString(), f.nullable, number) for f in schema.fields if f.name != "file_year"]
+    filled = [
+        _filled(spark.read.option("basePath", root).schema(schema).parquet(*files)).withColumn("part", F.lit(number))
+        for number, schema, files in parts.values()
     ]
-    eras = [read_era(spark, root, era) for era in (PRE_2018, POST_2018)]
-    filled = reduce(DataFrame.unionByName, [_filled(e.where(F.col("file_year").isin(years))) for e in eras if e is not None])
-    return spark.createDataFrame(rows, SCHEMA_ROWS).join(filled, ["activity_year", "column_name"], "left")
+    found = spark.createDataFrame(rows, SCHEMA_ROWS).distinct()
+    if filled:
+        found = found.join(reduce(DataFrame.unionByName, filled), ["activity_year", "column_name", "part"], "left")
+    else:
+        found = found.withColumn("non_null_rows", F.lit(None).cast("long"))
+    return found.groupBy("activity_year", "column_name", "column_type").agg(
+        F.bool_or("nullable").alias("nullable"), F.sum("non_null_rows").alias("non_null_rows")
+    )
 
 
 def catalog_objects(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from countyloom.schemas import INGEST_LEDGER, era_of
@@ -38,19 +41,20 @@ class AnnualSource:
         return self.path.lower().endswith(".zip")
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system takes it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    system, target = _hadoop_path(spark, path)
+    system, target = hadoop_path(spark, path)
     return system.exists(target)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under a path, from file metadata."""
-    system, target = _hadoop_path(spark, path)
+    system, target = hadoop_path(spark, path)
     return system.getContentSummary(target).getLength()
 
 
@@ -65,7 +69,7 @@ def leaf(root: str, file_year: int) -> str:
 def read_raw(spark: SparkSession, source: AnnualSource) -> tuple[DataFrame, str | None]:
     """Raw rows of one annual file, every column text, and the archive member they came from."""
     if source.is_archive:
-        system, target = _hadoop_path(spark, source.path)
+        system, target = hadoop_path(spark, source.path)
         return read_archive(spark, target.makeQualified(system.getUri(), system.getWorkingDirectory()).toString())
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", source.multi_line)
     return reader.csv(source.path), None
@@ -93,6 +97,34 @@ def read_era(spark: SparkSession, root: str, era: str, schema: T.StructType | No
     return reader.parquet(path)
 
 
+def dataset_files(spark: SparkSession, root: str) -> DataFrame:
+    """(file_year, path, bytes, changed_at) of every data file of the annual dataset; no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    return files.select("file_year", "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("changed_at"))
+
+
+def uniform_groups(spark: SparkSession, root: str, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files in groups within which every column has one type, each with its schema.
+
+    The footers of a group are read and merged in tasks. Only where types clash is a group halved, so files that agree cost
+    one merge, and a change of type somewhere in a sorted list costs a number of merges that grows with its logarithm.
+    """
+    try:
+        return [(spark.read.options(basePath=root, mergeSchema=True).parquet(*paths).schema, paths)]
+    except (PySparkException, Py4JJavaError) as clash:  # which of them depends on where the footers met
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(clash):
+            raise
+    half = len(paths) // 2
+    return uniform_groups(spark, root, paths[:half]) + uniform_groups(spark, root, paths[half:])
+
+
+def dataset_tag(spark: SparkSession, root: str) -> str:
+    """A short name for the state of all files of the annual dataset: their paths, sizes and times."""
+    files = dataset_files(spark, root).select(F.xxhash64("path", "bytes", "changed_at").cast("decimal(38,0)").alias("h"))
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).first()
+    return f"{row['n']}.{int(row['h'] or 0) & (2**64 - 1):016x}"
+
+
 def read_ledger(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
     """Ingest ledger, one JSON object per line; with `array` one JSON array per file."""
     return spark.read.schema(INGEST_LEDGER).option("multiLine", array).json(path)

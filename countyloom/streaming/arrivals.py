@@ -13,16 +13,24 @@ from itertools import groupby
 from pyspark.sql import DataFrame, SparkSession
 
 from countyloom.plans.ingest import Opened, ledger_frame, ledger_rows, open_source, write_years, year_exists
-from countyloom.sources.files import AnnualSource
+from countyloom.sources.files import AnnualSource, read_ledger
+from countyloom.sources.versions import current, write_version
 
 
 def ledger_path(root: str) -> str:
-    # The underscore keeps the ledger out of reads of the dataset itself.
+    """Folder of the ledger's versions. The underscore keeps it out of reads of the dataset itself."""
     return f"{root}/_ledger"
 
 
+def stored_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The ledger as it was last flushed; empty before the first time."""
+    path = current(spark, ledger_path(root))
+    return ledger_frame(spark, []) if path is None else read_ledger(spark, path)
+
+
 def _flush(spark: SparkSession, rows: list[dict], root: str) -> None:
-    ledger_frame(spark, rows).coalesce(1).write.mode("overwrite").json(ledger_path(root))
+    """The ledger so far as a new version; until it is whole, the former one counts."""
+    write_version(ledger_frame(spark, rows).coalesce(1), ledger_path(root), lambda frame, path: frame.write.json(path))
 
 
 def _written(files: list[Opened], root: str) -> list[Opened]:

@@ -236,11 +236,31 @@ schema_rows AS (
     UNION ALL {_filled("post", POST_COLUMNS, {"activity_year": "TRY_CAST(raw_activity_year AS INTEGER)", "source_era": "1", "lei_or_respondent_id": "lei"})})
 )"""
 
+# The copy in which odd years store some columns as numbers: these rows replace those of the same year and column.
+DRIFTED_ROWS = """
+retyped AS (
+  SELECT file_year AS activity_year, 'applicant_income_000s' AS column_name, 'double' AS column_type,
+    count(TRY_CAST(nullif(trim(applicant_income_000s), '') AS DOUBLE)) AS non_null_rows
+  FROM raw_pre WHERE file_year % 2 = 1 GROUP BY 1
+  UNION ALL SELECT file_year, 'income', 'double', count(TRY_CAST(nullif(trim(income), '') AS DOUBLE)) FROM raw_post WHERE file_year % 2 = 1 GROUP BY 1
+  UNION ALL SELECT file_year, 'loan_type', 'int', count(TRY_CAST(loan_type AS INTEGER))
+  FROM (SELECT file_year, loan_type FROM raw_pre UNION ALL SELECT file_year, loan_type FROM raw_post) WHERE file_year % 2 = 1 GROUP BY 1
+  UNION ALL SELECT file_year, 'action_taken', kind, if(kind = 'int', count(*) FILTER (WHERE action_taken = '1'), count(*) FILTER (WHERE action_taken <> '1'))
+  FROM (SELECT file_year, action_taken FROM raw_pre UNION ALL SELECT file_year, action_taken FROM raw_post),
+    (VALUES ('int'), ('string')) kinds(kind) WHERE file_year % 2 = 1 GROUP BY 1, 3
+),
+drifted AS (
+  SELECT activity_year, column_name, column_type, true AS nullable, non_null_rows FROM retyped
+  UNION ALL SELECT * FROM schema_rows s
+  WHERE NOT EXISTS (SELECT 1 FROM retyped r WHERE r.activity_year = s.activity_year AND r.column_name = s.column_name)
+)"""
+
 _CHAIN = {
     "raw": [XWALK, SRC, RAW_PRE, RAW_POST],
     "loan_years": [XWALK, SRC, RAW_PRE, RAW_POST, LOAN_YEARS],
     "geo": [XWALK, SRC, RAW_PRE, RAW_POST, LOAN_YEARS, GEO],
     "schema": [XWALK, SRC, RAW_PRE, RAW_POST, SCHEMA_ROWS],
+    "drifted": [XWALK, SRC, RAW_PRE, RAW_POST, SCHEMA_ROWS, DRIFTED_ROWS],
 }
 
 

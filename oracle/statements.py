@@ -133,6 +133,17 @@ LEFT JOIN schema_rows s ON s.activity_year = yr AND s.column_name = candidate
 GROUP BY logical_field, yr"""
 
 
+def _drifted(out: dict[str, str]) -> dict[str, str]:
+    """The schema audit again, over the copy whose columns change their type; a column of two types counts once a year."""
+    per_column = "schema_rows AS (SELECT activity_year, column_name, CAST(sum(non_null_rows) AS BIGINT) AS non_null_rows FROM drifted GROUP BY 1, 2)"
+    bodies = {n: out[f"schema_{n}"].removeprefix(query("schema", "")) for n in ("years_for_column", "column_counts", "common_columns", "era_only_columns", "key_field_availability", "type_differences")}
+    types = bodies.pop("type_differences")
+    found = {f"drift_{n}": query("drifted", f"SELECT * FROM (WITH {per_column} {body})") for n, body in bodies.items()}
+    found["drift_type_differences"] = query("drifted", f"SELECT * FROM (WITH schema_rows AS (SELECT * FROM drifted) {types})")
+    found["drift_schema_by_year"] = query("drifted", "SELECT * FROM drifted")
+    return found
+
+
 def _column_usage() -> str:
     meta = ", ".join("(" + ", ".join(map(_text, row)) + ")" for row in COLUMNS)
     counts = " UNION ALL ".join(f"SELECT '{c[0]}' AS column_name, count({c[0]}) AS non_null_rows FROM loan_years" for c in COLUMNS)
@@ -549,5 +560,18 @@ def statements() -> dict[str, str]:
             "geo", "SELECT activity_year, count(*) AS sample_rows FROM sample GROUP BY activity_year", LENDER, SAMPLE
         ),
     }
+    out["refreshed_county_year_lending"] = out["county_year_lending"]
+    out["refreshed_county_missing_geo"] = out["county_year_missing_geo_qa"]
+    out["refreshed_lender_county_year"] = out["lender_county_year"]
+    out["refreshed_years"] = query(
+        "geo",
+        """SELECT activity_year, 'changed' AS reason, panel_rows FROM (
+          SELECT DISTINCT activity_year FROM (
+            SELECT TRY_CAST(as_of_year AS INTEGER) AS activity_year, file_year FROM raw_pre
+            UNION ALL SELECT TRY_CAST(raw_activity_year AS INTEGER), file_year FROM raw_post)
+          WHERE file_year IN (SELECT DISTINCT yr FROM src ORDER BY yr DESC LIMIT 2)) touched
+        LEFT JOIN (SELECT activity_year AS y, count(*) AS panel_rows FROM county GROUP BY 1) ON y IS NOT DISTINCT FROM activity_year""",
+        COUNTY,
+    )
     out["ready_county_by_year"] = out["county_panel_by_year"]
-    return out
+    return out | _drifted(out)

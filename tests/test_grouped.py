@@ -8,7 +8,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from countyloom.operators.grouped import bucket_of, grouped_median, summarise
+from countyloom.operators import grouped
+from countyloom.operators.grouped import grouped_median, ordered_bits, summarise
 
 KEYS = ["activity_year", "county"]
 
@@ -68,11 +69,30 @@ def test_infinite_and_repeated_values(spark):
     assert found == {"a": math.inf, "b": 1.0, "c": 2.0}
 
 
-def test_buckets_keep_the_order_of_values(spark):
-    values = sorted([-1e300, -7.5, -1e-9, 0.0, 1e-9, 1.0, 1.0000001, 99999.0, 100000.0, 1e300, math.inf])
-    frame = spark.createDataFrame([(v,) for v in values], "v double")
-    buckets = [r[0] for r in frame.orderBy("v").select(bucket_of(F.col("v"))).collect()]
-    assert buckets == sorted(buckets)
+def test_bits_keep_the_order_of_values(spark):
+    values = sorted([-math.inf, -1e300, -7.5, -1e-9, -5e-324, 0.0, 5e-324, 1e-9, 1.0, 1.0000001, 99999.0, 100000.0, 1e300, math.inf]) + [math.nan]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    bits = [r[0] for r in frame.orderBy("i").select(ordered_bits(F.col("v"))).collect()]
+    assert bits == sorted(set(bits))
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (None,)], "v double").select(ordered_bits(F.col("v"))).collect()
+    assert zeros[0] == zeros[1] and zeros[2][0] is None
+
+
+def test_values_close_together_are_dealt_by_their_bits(spark, monkeypatch):
+    """Very many distinct values within one per cent, in one group: every round has few choices, and the median is exact."""
+    n = 200_001
+    frame = spark.range(n).select(F.lit("hot").alias("k"), (F.lit(1e6) + F.pmod(F.xxhash64("id"), F.lit(10_000_000)) / 1000.0).alias("v"))
+    frame = frame.unionByName(spark.range(7).select(F.lit("small").alias("k"), F.col("id").cast("double").alias("v")))
+    kept = []
+    behind = grouped._behind
+    monkeypatch.setattr(grouped, "_behind", lambda counts, sought, known: kept.append((known, behind(counts, sought, known))) or kept[-1][1])
+    found = dict(map(tuple, grouped_median(frame, ["k"], "v", "m").collect()))
+    values = sorted(r[0] for r in frame.where("k = 'hot'").select("v").collect())
+    assert found == {"hot": values[n // 2], "small": 3.0}
+    for known, rows in kept[:-1]:
+        choices = rows.groupBy("_key", "_middle", F.shiftright("_bits", 64 - known - grouped.RADIX_BITS)).count().groupBy("_key", "_middle").count()
+        assert choices.agg(F.max("count")).first()[0] <= 2**grouped.RADIX_BITS
+    assert kept[-1][1].groupBy("_key", "_middle").count().agg(F.max("count")).first()[0] <= grouped.FEW_VALUES
 
 
 def test_large_groups_are_not_collected_into_one_row_buffer(spark, skewed):

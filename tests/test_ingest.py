@@ -13,7 +13,7 @@ from countyloom.plans.readiness import column_metadata
 from countyloom.plans.schema_audit import common_columns, era_only_columns, type_differences, write_audit
 from countyloom.sources.catalog import schema_rows
 from countyloom.sources.files import AnnualSource, leaf, read_ledger, read_raw, read_year
-from countyloom.streaming.arrivals import ingest, ledger_path, revalidate
+from countyloom.streaming.arrivals import ingest, revalidate, stored_ledger
 
 PRE_HEADER = (
     "as_of_year,respondent_id,state_code,county_code,census_tract_number,loan_amount_000s,loan_type,loan_purpose,"
@@ -128,7 +128,7 @@ def test_run_stops_at_the_first_failure_and_can_be_resumed(spark, files):
     ledger = ingest(spark, [good, two, late], files.root)
     assert statuses(ledger) == [(2016, "converted", 3), (2017, "failed", None)]
     assert "exactly one CSV" in ledger.where("year = 2017").first()["error"]
-    assert statuses(read_ledger(spark, ledger_path(files.root))) == statuses(ledger)
+    assert statuses(stored_ledger(spark, files.root)) == statuses(ledger)
     fixed = files(2017, pre_text(2017))
     assert statuses(ingest(spark, [good, fixed, late], files.root)) == [
         (2016, "skipped_existing", 3), (2017, "converted", 3), (2018, "converted", 3)
@@ -174,7 +174,7 @@ def test_schema_sets_over_both_layouts(spark, files, tmp_path):
     only = era_only_columns(schema)
     assert {r["column_name"] for r in only.where(F.col("source_era") == "pre_2018").collect()} == pre - post
     assert {r["column_name"] for r in only.where(F.col("source_era") == "post_2018").collect()} == post - pre
-    ledger = read_ledger(spark, ledger_path(files.root))
+    ledger = stored_ledger(spark, files.root)
     write_audit(spark, schema, ledger, column_metadata(spark, loan_years(spark, files.root), ledger), str(tmp_path / "audit"))
     summary = spark.read.json(str(tmp_path / "audit" / "ledger_summary")).first()
     assert (summary["records"], summary["total_rows"], summary["statuses"]) == (3, 9, "converted")

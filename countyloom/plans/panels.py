@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countyloom.functions import count_where, distinct_where, has_text, no_text, trimmed_in
+from countyloom.operators.bitmaps import counted, dense_numbers, sets_by
 from countyloom.operators.checks import sums, totals_by_year
 from countyloom.operators.grouped import KEY, summarise, unpacked, with_key
 from countyloom.sources.dimensions import APPLICATION_CODES, DENIED, ORIGINATED, PURCHASED
@@ -119,6 +120,28 @@ def lender_county_year(geo: DataFrame, cells: DataFrame | None = None) -> DataFr
     )
 
 
+def lender_sets(geo: DataFrame) -> DataFrame:
+    """The lenders of every year, state and county (null where it is unknown), as sets that roll up."""
+    lenders = geo.where(has_text(F.col("lender_id"))).select(*COUNTY_KEYS, "lender_id")
+    return sets_by(lenders, COUNTY_KEYS, "lender_id", dense_numbers(lenders, "lender_id"))
+
+
+def lender_counts_by_year(sets: DataFrame) -> DataFrame:
+    """Distinct lenders of a year over all rows, and over those whose county is known, from the stored sets."""
+    every = counted(sets, ["activity_year"], "lender_count")
+    placed = counted(sets.where(F.col("county_fips_5").isNotNull()), ["activity_year"], "panel_lender_count")
+    both = with_key(every, ["activity_year"]).drop("activity_year").join(with_key(placed, ["activity_year"]).drop("activity_year"), KEY, "left")
+    return unpacked(both.withColumn("panel_lender_count", F.coalesce("panel_lender_count", F.lit(0))), ["activity_year"])
+
+
+def lender_counts_by_state(sets: DataFrame) -> DataFrame:
+    """Distinct lenders of each state over all years and of each of its years."""
+    yearly = counted(sets, ["activity_year", "state_fips_2"], "lender_count")
+    whole = counted(sets, ["state_fips_2"], "lender_count")
+    columns = [F.lit("year").alias("grain"), "activity_year", "state_fips_2", "lender_count"]
+    return yearly.select(*columns).unionByName(whole.select(F.lit("all years").alias("grain"), F.lit(None).cast("int").alias("activity_year"), *columns[2:]))
+
+
 def _missing_geo(geo: DataFrame) -> DataFrame:
     return geo.where(F.col("county_fips_5").isNull())
 

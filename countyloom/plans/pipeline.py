@@ -111,6 +111,10 @@ class Run:
     def lender_county_year(self) -> DataFrame:
         return self.stored("lender_county_year", lambda: panels.lender_county_year(self.panel_rows, self.geo_cells))
 
+    @property
+    def lender_sets(self) -> DataFrame:
+        return self.stored("lender_sets", lambda: panels.lender_sets(self.panel_rows))
+
     @property
     def lender_missing_lender(self) -> DataFrame:
         return self.stored("lender_missing_lender", lambda: panels.lender_panel_missing_lender(self.panel_rows))

@@ -164,6 +164,8 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
         r.panel_rows, r.lender_county_year, r.lender_missing_lender, r.lender_missing_geo
     ),
     "lender_panel_missing_lender_by_year": lambda r: panels.missing_lender_by_year(r.lender_missing_lender),
+    "lender_counts_by_year": lambda r: panels.lender_counts_by_year(r.lender_sets),
+    "lender_counts_by_state": lambda r: panels.lender_counts_by_state(r.lender_sets),
     "refreshed_county_year_lending": _refreshed_panel("county_year_lending"),
     "refreshed_county_missing_geo": _refreshed_panel("county_missing_geo"),
     "refreshed_lender_county_year": _refreshed_panel("lender_county_year"),

@@ -560,6 +560,19 @@ def statements() -> dict[str, str]:
             "geo", "SELECT activity_year, count(*) AS sample_rows FROM sample GROUP BY activity_year", LENDER, SAMPLE
         ),
     }
+    out["lender_counts_by_year"] = query(
+        "geo",
+        f"""SELECT activity_year, {LENDERS} AS lender_count,
+          count(DISTINCT lender_id) FILTER (WHERE {HAS_LENDER} AND county_fips_5 IS NOT NULL) AS panel_lender_count
+        FROM loan_years_geo GROUP BY activity_year HAVING {LENDERS} > 0""",
+    )
+    out["lender_counts_by_state"] = query(
+        "geo",
+        f"""SELECT 'year' AS grain, activity_year, state_fips_2, {LENDERS} AS lender_count FROM loan_years_geo
+        GROUP BY activity_year, state_fips_2 HAVING {LENDERS} > 0
+        UNION ALL SELECT 'all years', CAST(NULL AS INTEGER), state_fips_2, {LENDERS} FROM loan_years_geo
+        GROUP BY state_fips_2 HAVING {LENDERS} > 0""",
+    )
     out["refreshed_county_year_lending"] = out["county_year_lending"]
     out["refreshed_county_missing_geo"] = out["county_year_missing_geo_qa"]
     out["refreshed_lender_county_year"] = out["lender_county_year"]

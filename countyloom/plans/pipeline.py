@@ -153,12 +153,15 @@ class Run:
         self.audit()
         return exports.run_exports(self.spark, plan, root, force)
 
-    def published(self, label: str) -> DataFrame:
-        """A published CSV table, exported on first use."""
+    def published_path(self, label: str) -> str:
+        """Folder of a published table, exported on first use."""
         if "published" not in self._stored:
             self.publish()
             self._stored["published"] = f"{self.root}/published"
-        return read_published_csv(self.spark, f"{self._stored['published']}/{label}")
+        return f"{self._stored['published']}/{label}"
+
+    def published(self, label: str) -> DataFrame:
+        return read_published_csv(self.spark, self.published_path(label))
 
     def register_views(self) -> None:
         """Make the two lazy relations and the stored tables available to SQL."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countyloom.functions import shown
+from countyloom.sources.files import CORRUPT, read_typed_csv
 
 
 def county_rows(published: DataFrame) -> DataFrame:
@@ -27,6 +28,43 @@ def county_rows(published: DataFrame) -> DataFrame:
     )
 
 
+# Declared types of the published county panel; the rest of its columns is text.
+COUNTY_TYPES = {
+    "activity_year": "int",
+    "total_records": "bigint",
+    "application_records": "bigint",
+    "purchased_loans": "bigint",
+    "total_applications": "bigint",
+    "originated_loans": "bigint",
+    "denied_applications": "bigint",
+    "total_loan_amount": "double",
+    "average_loan_amount": "double",
+    "median_loan_amount": "double",
+    "lender_count": "bigint",
+}
+
+
+def typed_county_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the published county panel by declared types, with `_corrupt` for those that don't fit.
+
+    Older files lack `total_records` or leave it blank; `total_applications` holds the same number. A blank amount is 0.
+    """
+    read = read_typed_csv(spark, path, COUNTY_TYPES)
+    records = F.col("total_applications")
+    if "total_records" in read.columns:
+        records = F.coalesce("total_records", records)
+    amount = F.coalesce("total_loan_amount", F.lit(0.0)).alias("total_loan_amount")
+    counts = ("originated_loans", "denied_applications")
+    return read.select("activity_year", "county_fips_5", records.alias("total_records"), *counts, amount, "lender_count", CORRUPT)
+
+
+def parse_counts(rows: DataFrame) -> DataFrame:
+    """Good and corrupt rows of a typed read, by year; rows whose year can't be read have none."""
+    return rows.groupBy("activity_year").agg(
+        F.count(F.when(F.col(CORRUPT).isNull(), 1)).alias("good_rows"), F.count(CORRUPT).alias("corrupt_rows")
+    )
+
+
 def by_year(rows: DataFrame) -> DataFrame:
     total = F.col("total_records")
     other = total - F.col("originated_loans") - F.col("denied_applications")

@@ -8,17 +8,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countyloom.operators.ordering import order_check
 from countyloom.plans import canonical, exports, panels, profile, quality, readiness, schema_audit
 from countyloom.plans import geography_reports as geography
 from countyloom.plans.ingest import validation_report
 
+from countyloom.plans.panels import COUNTY_KEYS, LENDER_KEYS
 from countyloom.plans.pipeline import VOLATILE_LOG_KEYS, Run, build_log, start
 from countyloom.plans.refresh import read_panel, refresh
 from countyloom.sources.catalog import catalog_objects, schema_rows
 from countyloom.sources.derived import write_raw_files
 from countyloom.sources.dimensions import action_metadata, state_crosswalk
 from countyloom.sources.drifted import write_drifted
-from countyloom.sources.files import AnnualSource
+from countyloom.sources.files import CORRUPT, AnnualSource, path_exists, read_published_csv
 from countyloom.sources.storage import shared_folder
 from countyloom.streaming.arrivals import ingest, revalidate
 
@@ -124,6 +126,40 @@ def _refreshed_years(run: Run) -> DataFrame:
     )
 
 
+def _export_order(run: Run) -> DataFrame:
+    """Rows out of order in each published table, as its files stand."""
+    tables = [
+        ("county_year_lending_csv", run.published("county_year_lending_csv"), COUNTY_KEYS),
+        ("lender_county_year_parquet", run.spark.read.parquet(run.published_path("lender_county_year_parquet")), LENDER_KEYS),
+        ("lender_county_year_sample_csv", run.published("lender_county_year_sample_csv"), LENDER_KEYS),
+    ]
+    checks = [order_check(rows, keys).select(F.lit(label).alias("label"), "rows", "inversions") for label, rows, keys in tables]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def _typed_counties(run: Run) -> DataFrame:
+    return profile.typed_county_rows(run.spark, run.published_path("county_year_lending_csv"))
+
+
+def _spoiled_counties(run: Run) -> DataFrame:
+    """A copy of the published county panel in which a number of some rows is no number any more; written once a run."""
+    path = f"{run.root}/spoiled_county_csv"
+    if not path_exists(run.spark, f"{path}/_SUCCESS"):
+        rows = run.published("county_year_lending_csv")
+        bad = F.col("lender_count").cast("int") % 7 == 3
+        spoiled = rows.withColumn("denied_applications", F.when(bad, F.concat(F.lit("x"), F.col("denied_applications"))).otherwise(F.col("denied_applications")))
+        spoiled.write.mode("overwrite").options(**exports.CSV_WRITE).csv(path)
+    return profile.typed_county_rows(run.spark, path)
+
+
+def _small_sample_coverage(run: Run) -> DataFrame:
+    """Rows of each year in a sample that is cut, read back from its CSV file."""
+    path = f"{run.root}/small_sample_csv"
+    if not path_exists(run.spark, f"{path}/_SUCCESS"):
+        exports.lender_sample(run.lender_county_year, run.spark, SMALL_SAMPLE).write.mode("overwrite").options(**exports.CSV_WRITE).csv(path)
+    return profile.sample_coverage(read_published_csv(run.spark, path))
+
+
 def _published_counties(run: Run) -> DataFrame:
     return profile.county_rows(run.published("county_year_lending_csv"))
 
@@ -221,5 +257,11 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "profile_by_year": lambda r: profile.by_year(_published_counties(r)),
     "profile_top_counties": lambda r: profile.top_counties(_published_counties(r)),
     "profile_top_lender_counts": lambda r: profile.top_lender_counts(_published_counties(r)),
+    "export_order": _export_order,
+    "typed_profile_by_year": lambda r: profile.by_year(_typed_counties(r).where(F.col(CORRUPT).isNull())),
+    "typed_profile_top_counties": lambda r: profile.top_counties(_typed_counties(r)),
+    "typed_parse_counts": lambda r: profile.parse_counts(_spoiled_counties(r)),
+    "profile_small_sample_coverage": _small_sample_coverage,
+    "profile_formatted_by_year": lambda r: profile.formatted_by_year(_published_counties(r)),
     "profile_sample_coverage": lambda r: profile.sample_coverage(r.published("lender_county_year_sample_csv")),
 }

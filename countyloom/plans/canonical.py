@@ -6,11 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from countyloom.functions import distinct_where, has_text, to_double, to_int
 from countyloom.operators.grouped import KEY, unpacked, with_key
-from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ, PREFIX_COLUMNS
-from countyloom.sources.files import read_era
+from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ, PREFIX_COLUMNS, era_of
+from countyloom.sources.files import dataset_files, read_era, uniform_groups
 
 # Where each layout keeps the fields that were renamed in 2018, and the raw fields kept as JSON.
 LAYOUTS = {
@@ -95,6 +96,25 @@ def loan_years(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def mixed_loan_years(spark: SparkSession, root: str) -> DataFrame:
+    """`loan_years` over files that store some columns as other types than text, as other converters leave them.
+
+    Files that agree on their types are read together, as they are, and cast afterwards; footers are merged in tasks.
+    """
+    by_era: dict[str, list[str]] = {}
+    for r in dataset_files(spark, root).orderBy("path").collect():  # metadata: a row a file
+        by_era.setdefault(era_of(r["file_year"]), []).append(r["path"])
+    parts = []
+    for era, paths in by_era.items():
+        alike: dict[str, tuple[T.StructType, list[str]]] = {}
+        for schema, group in uniform_groups(spark, root, paths):
+            alike.setdefault(schema.json(), (schema, []))[1].extend(group)
+        parts += [canonical(spark.read.option("basePath", root).schema(schema).parquet(*files), era) for schema, files in alike.values()]
+    if not parts:
+        raise FileNotFoundError(f"no annual files below {root}")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def year_summary(rows: DataFrame, cells: DataFrame) -> DataFrame:
     """Per year: rows, distinct raw states, counties and lenders, and the amount.
 

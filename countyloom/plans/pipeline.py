@@ -150,7 +150,6 @@ class Run:
         plan = exports.planned_exports(
             self.spark, self.county_year_lending, self.lender_county_year, root, include_large_csv
         )
-        self.audit()
         return exports.run_exports(self.spark, plan, root, force)
 
     def published_path(self, label: str) -> str:

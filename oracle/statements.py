@@ -560,6 +560,13 @@ def statements() -> dict[str, str]:
             "geo", "SELECT activity_year, count(*) AS sample_rows FROM sample GROUP BY activity_year", LENDER, SAMPLE
         ),
     }
+    out["drift_loan_years"] = query("loan_years", "SELECT * EXCLUDE (raw_source_columns) FROM loan_years")
+    out["ingest_stream"] = query(
+        "raw",
+        """SELECT CAST(file_year AS INTEGER) AS year, era AS source_era, count(*) AS row_count, CAST(1 AS BIGINT) AS batches FROM (
+          SELECT file_year, 'pre_2018' AS era FROM raw_pre UNION ALL SELECT file_year, 'post_2018' FROM raw_post) GROUP BY 1, 2""",
+    )
+    out["ingest_stream_rows"] = out["ingest_annual"]
     out["export_order"] = query(
         "geo",
         """SELECT 'county_year_lending_csv' AS label, count(*) AS rows, CAST(0 AS BIGINT) AS inversions FROM county

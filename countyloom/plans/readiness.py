@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from countyloom.functions import count_where, has_text, no_text, text_or_null, to_int, trimmed
 from countyloom.plans.canonical import LAYOUTS
 from countyloom.plans.panels import COUNTY_TOTALS
+from countyloom.schemas import POST_2018, PRE_2018
 from countyloom.sources.dimensions import inline_table
 
 # Name fragments that hint at a lender identifier, and at a lender name.
@@ -55,16 +56,23 @@ def _flags(name: Column) -> list[Column]:
     ]
 
 
-def raw_source_keys(rows: DataFrame, sample_per_era: int | None = None) -> DataFrame:
-    """Distinct keys of the raw JSON field. By default every row is read; a per-era sample is optional."""
-    packed = rows.where(F.col("raw_source_columns").isNotNull()).select("source_era", "raw_source_columns")
-    if sample_per_era is not None:
-        eras = [packed.where(F.col("source_era") == era).limit(sample_per_era) for era in ("pre_2018", "post_2018")]
-        packed = eras[0].union(eras[1])
-    keys = packed.select(F.explode(F.json_object_keys("raw_source_columns")).alias("name")).distinct()
+def _exploded(rows: DataFrame) -> DataFrame:
+    packed = rows.where(F.col("raw_source_columns").isNotNull())
+    return packed.select("source_era", F.explode(F.json_object_keys("raw_source_columns")).alias("name"))
+
+
+def raw_source_keys(rows: DataFrame) -> DataFrame:
+    """Distinct keys of the raw JSON field, over every row."""
+    keys = _exploded(rows).select("name").distinct()
     return keys.select(F.lit("raw_source_key").alias("name_kind"), "name", *_flags(F.col("name")))
 
 
+def source_keys_by_era(rows: DataFrame) -> DataFrame:
+    """The keys of each layout and how many rows have them: one branch a layout, so that only its files are read, united."""
+    eras = [_exploded(rows.where(F.col("source_era") == era)) for era in (PRE_2018, POST_2018)]
+    return eras[0].unionAll(eras[1]).groupBy("source_era", "name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def name_report(spark: SparkSession, rows: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Raw keys and schema columns, flagged where they look like a lender identifier or a lender name."""
     schema = spark.createDataFrame([(c,) for c in columns], "name string").select(

@@ -254,6 +254,7 @@ REPORTS: dict[str, Callable[[Run], DataFrame]] = {
     "ready_lender_coverage": lambda r: readiness.lender_coverage(r.loan_years),
     "ready_lender_id_types": lambda r: readiness.lender_id_types(r.loan_years),
     "ready_raw_source_keys": lambda r: readiness.name_report(r.spark, r.loan_years, r.loan_years_geo.columns),
+    "ready_source_keys_by_era": lambda r: readiness.source_keys_by_era(r.loan_years),
     "ready_action_counts": lambda r: readiness.action_counts(r.loan_years),
     # schema audit
     "schema_by_year": _schema,

@@ -560,6 +560,11 @@ def statements() -> dict[str, str]:
             "geo", "SELECT activity_year, count(*) AS sample_rows FROM sample GROUP BY activity_year", LENDER, SAMPLE
         ),
     }
+    out["ready_source_keys_by_era"] = query(
+        "loan_years",
+        """SELECT source_era, name, count(*) AS row_count
+        FROM (SELECT source_era, unnest(json_keys(raw_source_columns)) AS name FROM loan_years) GROUP BY ALL""",
+    )
     out["drift_loan_years"] = query("loan_years", "SELECT * EXCLUDE (raw_source_columns) FROM loan_years")
     out["ingest_stream"] = query(
         "raw",

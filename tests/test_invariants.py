@@ -143,5 +143,5 @@ def test_action_counts_sort_numbers_before_text(spark):
 
 def test_sampled_and_full_key_discovery_agree(run):
     full = {r["name"] for r in readiness.raw_source_keys(run.loan_years).collect()}
-    assert full == {r["name"] for r in readiness.raw_source_keys(run.loan_years, 1000).collect()}
+    assert full == {r["name"] for r in readiness.source_keys_by_era(run.loan_years).collect()}
     assert {"lei", "respondent_id"} <= full

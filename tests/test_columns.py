@@ -79,3 +79,14 @@ def test_amount_units_depend_on_the_era_and_income_is_not_scaled(spark):
     )
     row = canonical(frame, "pre_2018").first()
     assert (row["loan_amount"], row["applicant_income"], row["lender_id_type"]) == (150000.0, 80.0, "respondent_id")
+
+
+def test_usual_whole_numbers_need_no_pattern_and_odd_ones_keep_their_meaning(spark):
+    texts = ["2017", "-3", "-0", "007", "+5", "\t7", "7\n", "9007199254740993", "9223372036854775808", "1_000", "2147483648"]
+    whole = [2017, -3, 0, 7, 5, None, None, None, None, 1000, None]
+    numbers = [2017.0, -3.0, 0.0, 7.0, 5.0, None, None, 9007199254740992.0, 9223372036854775808.0, 1000.0, 2147483648.0]
+    assert values(spark, texts, to_int) == whole
+    assert values(spark, texts, to_double) == numbers
+    for build in (to_int, to_double):
+        plan = spark.range(1).select(F.col("id").cast("string").alias("x")).select(build(F.col("x")))._jdf.queryExecution().analyzed().toString()
+        assert "regexp_replace" not in plan.lower().partition(" then ")[0]  # the first case has one short pattern and no rewriting

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from countyloom.schemas import LAST_PRE_YEAR
 from countyloom.sources.dimensions import STATES, inline_table
+from countyloom.sources.storage import unsorted_partitions
 
 
 def _first_match(*arms: tuple[Column, Column | str | None], otherwise: Column) -> Column:
@@ -155,11 +156,12 @@ def raw_post_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_raw_files(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Write the derived rows as annual CSV files under `<root>/file_year=<year>/`; returns `root`."""
     for rows in (raw_pre_2018(spark, sf_dir), raw_post_2018(spark, sf_dir)):
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("file_year")
-            .options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-            .csv(root)
-        )
+        with unsorted_partitions(spark):
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("file_year")
+                .options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+                .csv(root)
+            )
     return root

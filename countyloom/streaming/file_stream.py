@@ -7,6 +7,8 @@ off and is run again replaces what it had written, and files that arrive later f
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,19 +16,20 @@ from pyspark.sql import types as T
 from countyloom.plans.canonical import with_prefix
 from countyloom.schemas import FIRST_YEAR, LAST_PRE_YEAR, LAST_YEAR, POST_2018, PRE_2018
 from countyloom.sources.files import CSV_OPTIONS, hadoop_path, path_exists
+from countyloom.sources.storage import unsorted_partitions
 
 YEARS = {PRE_2018: range(FIRST_YEAR, LAST_PRE_YEAR + 1), POST_2018: range(LAST_PRE_YEAR + 1, LAST_YEAR + 1)}
 PARTITIONS = ("source_era", "file_year", "batch")
 
 
-def _pattern(raw: str, era: str) -> str:
-    """All folders that files of a layout can ever arrive in, so that the stream's source never changes."""
-    return f"{raw}/file_year={{{','.join(map(str, YEARS[era]))}}}"
+def _pattern(raw: str, years: Iterable[int]) -> str:
+    """The folders that files of a layout can arrive in."""
+    return f"{raw}/file_year={{{','.join(map(str, years))}}}"
 
 
-def _header(spark: SparkSession, raw: str, era: str) -> list[str] | None:
+def _header(spark: SparkSession, raw: str, years: Iterable[int]) -> list[str] | None:
     """Columns of the layout, from its first year that is there. Files with other columns fail their batch."""
-    for year in YEARS[era]:
+    for year in years:
         path = f"{raw}/file_year={year}"
         system, target = hadoop_path(spark, path)
         if system.exists(target) and any(s.getLen() and not s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(target)):
@@ -37,23 +40,27 @@ def _header(spark: SparkSession, raw: str, era: str) -> list[str] | None:
 def write_batch(rows: DataFrame, batch: int, root: str) -> None:
     """Writes a batch into partitions of its own; again the same batch replaces them."""
     writer = rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", "zstd").partitionBy(*PARTITIONS).parquet(root)
+    with unsorted_partitions(rows.sparkSession):
+        writer.option("compression", "zstd").partitionBy(*PARTITIONS).parquet(root)
 
 
-def convert_arrived(spark: SparkSession, raw: str, root: str, checkpoints: str) -> list[str]:
+def convert_arrived(spark: SparkSession, raw: str, root: str, checkpoints: str, arrived: Iterable[int] | None = None) -> list[str]:
     """Converts all files that have arrived and were not converted before; returns the layouts that had files at all.
 
+    With `arrived` only the folders of these years are looked at, otherwise all that files of a layout can ever be in.
+
     Stops at the first layout that fails; the next run takes up where it stopped.
     """
-    done = []
+    done, wanted = [], set(arrived or ())
     for era in (PRE_2018, POST_2018):
-        columns = _header(spark, raw, era)
+        years = [y for y in YEARS[era] if arrived is None or y in wanted]
+        columns = _header(spark, raw, years)
         if columns is None:
             continue
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        arrived = spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(_pattern(raw, era))
+        files = spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(_pattern(raw, years))
         year = F.regexp_extract(F.col("_metadata.file_path"), r"/file_year=(\d+)/", 1).cast("int")
-        placed = arrived.withColumn("_year", year)
+        placed = files.withColumn("_year", year)
         typed = with_prefix(placed.select(*columns), era).columns
         rows = with_prefix(placed, era).withColumnRenamed("_year", "file_year").select(*typed, "file_year")
         query = (

@@ -214,3 +214,29 @@ def test_a_second_file_with_other_columns_is_seen(spark, files):
     extra.write.mode("append").parquet(leaf(files.root, 2018))
     schema = {r["column_name"]: r["non_null_rows"] for r in schema_rows(spark, files.root, [2018]).collect()}
     assert schema["extra"] == 1 and schema["lei_or_respondent_id"] == 4
+
+
+def test_files_of_alternating_writers_are_told_apart_in_few_merges(spark, tmp_path, monkeypatch):
+    from countyloom.sources import files
+
+    root = str(tmp_path / "drifted")
+    for kind in ("int", "string"):
+        rows = spark.range(0, 160, 1, 16).select(F.col("id").cast(kind).alias("x"), F.lit(2015).alias("file_year"))
+        rows.write.mode("append").partitionBy("file_year").parquet(root)
+    paths = [r["path"] for r in files.dataset_files(spark, root).orderBy("path").collect()]
+    calls, whole = [], files._uniform
+    monkeypatch.setattr(files, "_uniform", lambda *a: calls.append(1) or whole(*a))
+    groups = files.uniform_groups(spark, root, paths)
+    assert len(paths) == 32 and len(groups) == 2 and len(calls) == 3
+    assert sorted(p for _, some in groups for p in some) == sorted(paths)
+
+
+def test_writers_stay_open_only_while_a_table_is_written(spark):
+    from countyloom.sources import storage
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), storage.unsorted_partitions(spark):
+        assert spark.conf.get(key) == str(storage.OPEN_WRITERS)
+        raise ValueError
+    assert spark.conf.get(key) == before

@@ -129,3 +129,11 @@ def test_large_route_joins_on_equal_keys(spark, skewed):
     frame = spark.createDataFrame(skewed, "activity_year int, county string, amount double")
     plan = summarise(frame, KEYS, {"n": F.count(F.lit(1))}, {"mid": "amount"}, large_group=500)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_many_small_groups_need_no_median_buffers(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 5 > 0, F.col("id") % 900).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
+    out = summarise(rows, ["k"], {"n": F.count(F.lit(1)), "s": F.sum("v")}, {"mid": "v"})
+    builtin = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.median("v").alias("mid"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, builtin.collect()), key=repr)
+    assert "ObjectHashAggregate" not in out._jdf.queryExecution().executedPlan().toString()

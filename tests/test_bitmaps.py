@@ -32,3 +32,10 @@ def test_counts_roll_up(spark):
     assert {(r.y, r.c): r.n for r in counted(sets, ["y", "c"], "n").collect()} == wanted(lambda y, c: (y, c))
     assert {r.y: r.n for r in counted(sets, ["y"], "n").collect()} == wanted(lambda y, c: y)
     assert counted(sets, [], "n").first().n == 90_000
+
+
+def test_sets_are_built_after_the_shuffle(spark):
+    rows = spark.range(3000).select((F.col("id") % 40).alias("k"), (F.col("id") % 700).cast("string").alias("v"))
+    plan = sets_by(rows, ["k"], "v", dense_numbers(rows, "v"))._jdf.queryExecution().executedPlan().toString()
+    merging, _, before = plan.partition("partial_bitmap_construct_agg")
+    assert before and "Exchange" not in merging  # nothing is sent between the two steps of the aggregation

@@ -22,6 +22,7 @@ from countyloom.plans import panels
 from countyloom.plans.canonical import canonical
 from countyloom.schemas import POST_2018, POST_2018_READ, PRE_2018, PRE_2018_READ
 from countyloom.sources.files import dataset_files, hadoop_path, read_era
+from countyloom.sources.storage import unsorted_partitions
 from countyloom.sources.versions import current, write_version
 
 PANELS = {
@@ -31,6 +32,8 @@ PANELS = {
     "lender_missing_lender": panels.lender_panel_missing_lender,
     "lender_missing_geo": panels.lender_panel_missing_geo,
 }
+# Panels that look for large groups, which counted rows spare them.
+COUNTED = ("county_year_lending", "lender_county_year")
 LEDGER = "file_year int, state long, years array<int>"
 SCHEMAS = "name string, schema string"
 CHANGES = "activity_year int, reason string"
@@ -48,10 +51,12 @@ def _ledger(spark: SparkSession, root: str) -> dict[int, tuple[int, set[int | No
     return {r["file_year"]: (r["state"], set(r["years"])) for r in spark.read.schema(LEDGER).parquet(path).collect()}
 
 
-def _states(spark: SparkSession, annual_root: str) -> dict[int, int]:
+def _states(spark: SparkSession, annual_root: str, arrived: Iterable[int] | None) -> dict[int, int]:
     """A number for the data files of each annual file, from their names, sizes and times."""
     state = F.xxhash64("path", "bytes", "changed_at")
-    found = dataset_files(spark, annual_root).groupBy("file_year").agg(F.sum(state.cast("decimal(38,0)")).alias("h"))
+    files = dataset_files(spark, annual_root)
+    files = files if arrived is None else files.where(F.col("file_year").isin(sorted(arrived)))
+    found = files.groupBy("file_year").agg(F.sum(state.cast("decimal(38,0)")).alias("h"))
     return {r["file_year"]: hash(int(r["h"])) for r in found.collect()}
 
 
@@ -80,6 +85,11 @@ def _partition(year: int | None) -> str:
     return f"activity_year={'__HIVE_DEFAULT_PARTITION__' if year is None else year}"
 
 
+def county_cells(rows: DataFrame) -> DataFrame:
+    """Rows of each year, state and county: the coarsest groups around those of every panel."""
+    return rows.groupBy(*panels.COUNTY_KEYS).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _drop_emptied(spark: SparkSession, path: str, wanted: set[int | None], written: set[int | None]) -> None:
     for year in wanted - written:
         system, target = hadoop_path(spark, f"{path}/{_partition(year)}")
@@ -87,12 +97,14 @@ def _drop_emptied(spark: SparkSession, path: str, wanted: set[int | None], writt
             system.delete(target, True)
 
 
-def refresh(spark: SparkSession, annual_root: str, root: str) -> DataFrame:
+def refresh(spark: SparkSession, annual_root: str, root: str, arrived: Iterable[int] | None = None) -> DataFrame:
     """Brings the panels below `root` up to date with the annual dataset; returns the years that were rewritten.
 
+    With `arrived` only the annual files of these years count as there, otherwise all of them.
+
     `reason` is `changed` for a year that still has rows, `emptied` for one that has none any more.
     """
-    before, states = _ledger(spark, root), _states(spark, annual_root)
+    before, states = _ledger(spark, root), _states(spark, annual_root, arrived)
     changed = {y for y in before.keys() | states.keys() if y not in before or before[y][0] != states.get(y)}
     if not changed:
         return spark.createDataFrame([], CHANGES)
@@ -110,16 +122,18 @@ def refresh(spark: SparkSession, annual_root: str, root: str) -> DataFrame:
     if filled:
         # Stored once for the five tables, for the touched years only; an unfinished one is written over by nobody.
         narrow = spark.read.parquet(write_version(rows(), f"{root}/_rows", lambda frame, path: frame.write.option("compression", "zstd").parquet(path)))
+        cells = spark.read.parquet(write_version(county_cells(narrow), f"{root}/_rows/cells", lambda frame, path: frame.write.parquet(path)))
     schemas = []
     for name, build in PANELS.items():
         path, written = f"{root}/{name}", set()
         if filled:
             seen = Observation()
-            panel = build(narrow)
+            panel = build(narrow, cells) if name in COUNTED else build(narrow)
             schemas.append((name, panel.schema.json()))
             panel = panel.observe(seen, F.collect_set(F.struct("activity_year")).alias("years"))
             writer = panel.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-            writer.partitionBy("activity_year").parquet(path)
+            with unsorted_partitions(spark):
+                writer.partitionBy("activity_year").parquet(path)
             written = {r["activity_year"] for r in seen.get["years"]}
         _drop_emptied(spark, path, touched, written)
     system, target = hadoop_path(spark, f"{root}/_rows")

@@ -145,3 +145,12 @@ def test_a_ledger_survives_a_failed_flush(spark, tmp_path, world, monkeypatch):
         ingest(spark, [AnnualSource(2017, world.files[2017])], world.annual)
     monkeypatch.undo()
     assert stored_ledger(spark, world.annual).collect() == before
+
+
+def test_files_that_have_not_arrived_wait_for_the_next_refresh(spark, world):
+    for year in (2016, 2017, 2018):
+        world.put(year, [year, year, year + 1, ""])
+    first = {r.activity_year for r in refresh.refresh(spark, world.annual, world.root, arrived=[2016, 2017]).collect()}
+    assert first == {None, 2016, 2017, 2018}
+    assert world.refresh() == {None: "changed", 2018: "changed", 2019: "changed"}
+    world.check()

@@ -98,7 +98,7 @@ def main() -> None:
     timed("store_county_panel", lambda: run.county_year_lending)
     timed("store_lender_panel", lambda: run.lender_county_year)
     timed("store_exclusions", lambda: (run.county_missing_geo, run.lender_missing_geo, run.lender_missing_lender))
-    timed("publish_all", lambda: run.published("county_year_lending_csv"))
+    timed("publish_all", run.publish)
     for name in REPORT_JOBS:
         timed(name, lambda report=name: discard(REPORTS[report](run)))
     for export in exports.planned_exports(spark, run.county_year_lending, run.lender_county_year, f"{shared_folder(spark)}/published"):

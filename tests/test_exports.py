@@ -1,6 +1,7 @@
 """Published files: read-back, ledger statuses, and the profile of what was published."""
 
 from countyloom.plans import exports, profile
+from countyloom.plans.pipeline import Run
 from countyloom.sources.files import read_published_csv
 
 
@@ -87,3 +88,10 @@ def test_blank_record_counts_fall_back(spark):
         "activity_year string, county_fips_5 string, total_records string, total_applications string, originated_loans string, denied_applications string, total_loan_amount string, lender_count string",
     )
     assert sorted(r["total_records"] for r in profile.county_rows(published).collect()) == [7, 10]
+
+
+def test_a_published_table_is_exported_without_the_others(spark, run, tmp_path):
+    alone = Run(spark, run.annual_root, str(tmp_path), run.sources)
+    assert alone.published("county_year_lending_csv").count() == run.county_year_lending.count()
+    assert not (tmp_path / "lender_county_year").exists()
+    assert [p.name for p in (tmp_path / "published").iterdir()] == ["county_year_lending_csv"]

@@ -332,6 +332,18 @@ def test_every_link_is_counted(spark, odd, monkeypatch):
         assert sorted((str(r.doc_id), r.n_links) for r in found) == sorted((str(d), n) for (d, _), n in zip(rows, links, strict=True))
 
 
+def test_a_set_is_sent_once_for_each_chunk_of_its_component(spark):
+    rows = [(c, 1, 7, b"", c % 5, 5) for c in range(40)] + [(c, 1, 8, b"", 0, 1) for c in (50, 51)]
+    sets = spark.createDataFrame(rows, "class long, n long, part long, shingles binary, own int, chunks int")
+    found = jaccard_join.in_cells(sets, 3).collect()
+    assert len(found) == 40 * 5 + 2
+    cells = {}
+    for r in found:
+        cells.setdefault((r.part, r.i, r.j), set()).add(r["class"])
+    pairs = [(a, b) for cell in cells.values() for a in cell for b in cell if a < b and a % 5 != b % 5 and b < 40]
+    assert len(pairs) == len(set(pairs)) == 40 * 32 // 2
+
+
 def test_one_row_of_each_group_stays(spark, odd):
     kept = jaccard_join.keep_one(odd)
     assert kept.columns == odd.columns
@@ -478,3 +490,12 @@ def test_cascade_query_equals_its_sql(spark):
     con = compare.connect(SF)
     for name, sql in oracle_sql().items():
         assert compare.differences(QUERIES[name](spark, SF), con, sql) == []
+
+
+def test_known_chunks_are_looked_up_not_walked_through():
+    class Kept(dict):
+        def __iter__(self):
+            raise AssertionError("walked through")
+
+    newer = {}
+    assert packing._Ids._moved({"a", "b"}, Kept(a=b"1", c=b"2"), newer) == {"b"} and newer == {"a": b"1"}

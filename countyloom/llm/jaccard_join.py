@@ -22,8 +22,8 @@ COUNT_BITS, CHUNK = 20, 1 << 16
 MARK_BITS = 11
 #: Classes that a worker remembers, so that copies in its own split are sent once.
 REMEMBERED = 200_000
-#: Classes in a chunk; links are counted in cells of two chunks.
-CELL_CLASSES = 256
+#: Classes in a chunk, and tokens of its sets on average; links are counted in cells of two chunks.
+CELL_CLASSES, CELL_TOKENS = 8192, 1 << 19
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -343,33 +343,48 @@ def _linked(asks: list[np.ndarray], others: list[np.ndarray], percent: int) -> n
     return out
 
 
+def in_cells(sets: DataFrame, batches: int) -> DataFrame:
+    """Each set (class, part, own, chunks..) once for each chunk of its component: in the cell of its own and that chunk.
+
+    Components of one chunk share batches.
+    """
+    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = met.select(
+        "class", "n", "part", "shingles", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("part"), F.lit(batches))).alias("batch"),
+    )
+    return dealt.withColumns({f"cell_{c}": F.when(F.col("batch").isNull(), F.col(c)) for c in ("part", "i", "j")})
+
+
 def link_counts(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
     """(class, links): with how many documents of other classes those of a class link.
 
-    `members` holds class, n (its documents), part (its component). Links never leave a component, so all pairs of one are
-    compared, in cells of two chunks; only counts leave a cell.
+    `members` holds class, size, n (its documents), part (its component). Links never leave a component, so all pairs of one
+    are compared, in cells of two of its chunks; only counts leave a cell. A chunk meets itself and every other chunk in one
+    cell, so a set is sent once for each chunk of its component.
     """
-    sizes = checkpointed(members.groupBy("part").agg(F.count("*").alias("classes")).where("classes > 1"))
-    cut = members.join(sizes, "part").withColumn("chunks", F.ceil(F.col("classes") / CELL_CLASSES).cast("int"))
+    rows, tokens = F.count("*"), F.sum("size")
+    sizes = checkpointed(members.groupBy("part").agg(rows.alias("classes"), tokens.alias("tokens")).where("classes > 1"))
+    chunks = F.ceil(F.greatest(F.col("classes") / CELL_CLASSES, F.col("tokens") / CELL_TOKENS))
+    cut = members.join(sizes, "part").withColumn("chunks", F.least("classes", chunks).cast("int"))
     cut = checkpointed(cut.withColumn("own", F.pmod(F.xxhash64(F.lit("cell"), "class"), "chunks").cast("int")))
-    sets = cut.join(fetched(docs, cut.select("class"), settings).select("class", "shingles"), "class")
-    sets = checkpointed(sets).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    kept = ("part", "chunks", "class", "n", "shingles")
-    left = sets.select(*kept, F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("asks"))
-    right = sets.select(*kept, F.col("other").alias("i"), F.col("own").alias("j"), F.lit(False).alias("asks"))
-    batches = max(1, -(-cut.where("chunks = 1").count() // CELL_CLASSES))
-    one = F.col("chunks") == 1
-    dealt = left.unionByName(right).withColumn("batch", F.when(one, F.pmod(F.xxhash64("part"), F.lit(batches))))
-    dealt = dealt.withColumns({f"cell_{c}": F.when(~one, F.col(c)) for c in ("part", "i", "j")})
+    sets = cut.drop("size").join(fetched(docs, cut.select("class"), settings).select("class", "shingles"), "class")
+    # Batches of small components are filled by tokens as well.
+    batches = max(1, -(-(cut.where("chunks = 1").agg(F.sum("size")).first()[0] or 0) // CELL_TOKENS))
+    dealt = in_cells(sets, batches)
 
     def counted(frame: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"class": np.empty(0, np.int64), "links": np.empty(0, np.int64)})]
-        for _, cell in frame.groupby(["part", "i", "j"]):
-            asks, others = cell[cell["asks"]], cell[~cell["asks"]]
-            if len(asks) and len(others):
-                one, two = ([np.frombuffer(x, np.uint64) for x in c["shingles"]] for c in (asks, others))
-                linked = _linked(one, two, settings.percent) & (asks["class"].to_numpy()[:, None] != others["class"].to_numpy())
-                out.append(pd.DataFrame({"class": asks["class"].to_numpy(), "links": linked @ others["n"].to_numpy()}))
+        for (_, i, j), cell in frame.groupby(["part", "i", "j"]):
+            sides = [cell[cell["own"] == c] for c in dict.fromkeys((i, j))]
+            asks, others = sides[0], sides[-1]
+            if not len(asks) or not len(others):
+                continue
+            one, two = ([np.frombuffer(x, np.uint64) for x in c["shingles"]] for c in (asks, others))
+            linked = _linked(one, two, settings.percent) & (asks["class"].to_numpy()[:, None] != others["class"].to_numpy())
+            out.append(pd.DataFrame({"class": asks["class"].to_numpy(), "links": linked @ others["n"].to_numpy()}))
+            if i != j:
+                out.append(pd.DataFrame({"class": others["class"].to_numpy(), "links": asks["n"].to_numpy() @ linked}))
         return pd.concat(out)
 
     found = dealt.groupBy("batch", "cell_part", "cell_i", "cell_j").applyInPandas(counted, "class long, links long")
@@ -402,13 +417,15 @@ def join_documents(docs: DataFrame, settings: Settings = Settings(), count_links
     rest = checkpointed(rest.join(near, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         known = components(links.unionByName(links_of(docs, rest, settings)))
-    classes = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    parts = classes.join(known, classes["class"] == known["node"], "left").select("class", "least", "n", F.coalesce("component", "class").alias("part"))
+    classes = named.where("n_shingles > 0").groupBy("class").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("n_shingles").alias("size")
+    )
+    parts = classes.join(known, classes["class"] == known["node"], "left").select("class", "least", "n", "size", F.coalesce("component", "class").alias("part"))
     parts = checkpointed(parts)
     least = parts.groupBy("part").agg(F.min("least").alias("component_id"))
     whole, more = parts.join(least, "part").select(F.col("class").alias("_class"), "component_id", "n"), []
     if count_links:
-        links = link_counts(docs, parts.select("class", "n", "part"), settings)
+        links = link_counts(docs, parts.select("class", "size", "n", "part"), settings)
         whole = whole.join(links, F.col("_class") == links["class"], "left").drop("class")
         whole = whole.withColumn("_links", F.col("n") - 1 + F.coalesce("links", F.lit(0)))
         more = [F.coalesce("_links", F.lit(0)).alias("n_links")]

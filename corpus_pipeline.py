@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from countyloom.llm import jaccard_join, mixing, packing, quality, secret_scan
-from countyloom.llm.common import shared_folder, table
+from countyloom.llm.common import shared_folder, small_batches, table
 from countyloom.llm.queries import tokenizer_path
 
 
@@ -32,9 +32,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences that are numbered in the order in which the mixture left the rows."""
-    return packing.pack(docs, tokenizer_path(), in_order=True)
+    return packing.pack(docs, tokenizer_path(), in_order=True, kept=KEPT_CHUNKS)
 
 
+#: Chunks of text that a worker remembers while it packs, beside what the stages before have left in it.
+KEPT_CHUNKS = 100_000
 STAGES = [
     ("quality", keep_good),
     ("near_duplicates", drop_near_duplicates),
@@ -49,7 +51,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage is written to the shared folder and read again."""
     root = shared_folder(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
+    with small_batches(spark):  # every stage is written inside
+        for name, stage in STAGES:
+            stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+            docs = spark.read.parquet(f"{root}/{name}")
     return docs

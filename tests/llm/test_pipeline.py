@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from countyloom.llm import jaccard_join, secret_scan
+from countyloom.llm import jaccard_join, packing, secret_scan
+from countyloom.llm.common import BATCH_BYTES, small_batches
+from countyloom.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,3 +63,19 @@ def test_an_empty_table_goes_through(spark):
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
         docs = spark.createDataFrame([], docs.schema)
+
+
+def test_batches_are_bounded_inside_and_as_before_outside(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(3000, numPartitions=1).select(F.repeat(F.lit("abc"), F.lit(2000)).alias("text"))
+    sizes = docs.mapInPandas(lambda frames: (f.assign(n=len(f))[["n"]].iloc[:1] for f in frames), "n long")
+    with small_batches(spark):
+        assert max(r.n for r in sizes.collect()) * 6000 <= BATCH_BYTES + 6000
+    assert spark.conf.get(name) == before
+
+
+def test_a_small_memory_of_chunks_gives_the_same_pieces(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    found = [sorted(map(str, packing.pieces_of(docs, tokenizer_path(), 2048, kept=k).collect())) for k in (10, 400_000)]
+    assert found[0] == found[1]

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from countyloom.llm.common import Words, checkpointed, mix, text_blocks
+from countyloom.llm.common import Words, checkpointed, gathered, mix, text_blocks
 from countyloom.llm.components import components
 from countyloom.llm.url_cascade import build_filter
 
@@ -242,7 +242,8 @@ def plausible(pairs: DataFrame, marks: DataFrame, settings: Settings) -> DataFra
 def hot_candidates(hot: DataFrame, marks: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
     """Pairs from long lists whose classes are not in one component yet.
 
-    Lists within one component are left out by their least and greatest component, before any join.
+    Lists within one component are left out by their least and greatest component, before any join. Spark cuts the lists of
+    frequent tokens into pieces that meet each other; they are dealt to as many tasks as their pairs need.
     """
     entries = hot.select("token", F.col("a").alias("class"), "size", "spot").distinct()
     entries = entries.join(known, entries["class"] == known["node"], "left").select(
@@ -251,6 +252,7 @@ def hot_candidates(hot: DataFrame, marks: DataFrame, known: DataFrame, settings:
     entries = checkpointed(entries)
     mixed = entries.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
     open_ = checkpointed(entries.join(mixed, "token").join(marks.select("class", "marks"), "class"))
+    met = open_.groupBy("token").count().agg(F.sum(F.col("count") * (F.col("count") - 1))).first()[0] or 0
     other = open_.select("token", *[F.col(c).alias(f"{c}2") for c in ("class", "size", "spot", "part", "marks")])
     reach = F.least(F.col("size") - F.col("spot"), F.col("size2") - F.col("spot2")) >= needed(F.col("size") + F.col("size2"), settings)
     pairs = open_.join(
@@ -260,7 +262,8 @@ def hot_candidates(hot: DataFrame, marks: DataFrame, known: DataFrame, settings:
         & reach
         & can_link("size", "size2", "marks", "marks2", settings),
     )
-    return pairs.select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b")).distinct()
+    found = pairs.select(F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b"))
+    return gathered(found, met // 2).distinct()
 
 
 def fetched(docs: DataFrame, classes: DataFrame, settings: Settings, marks: bool = False) -> DataFrame:

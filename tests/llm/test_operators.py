@@ -67,6 +67,27 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert {r.node: r.component for r in found} == dict.fromkeys(range(100, 161), 100) | dict.fromkeys(range(7, 60), 7)
 
 
+def test_rounds_of_few_edges_take_few_tasks(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long").coalesce(1)
+    settings = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    context = spark.sparkContext
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("rounds of few edges", "")
+        found = {r.node: r.component for r in components(edges).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("rounds of few edges") for s in tracker.getJobInfo(job).stageIds}
+    tasks = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    assert found == dict.fromkeys(range(13), 0)
+    assert tasks < 4000
+
+
 def test_tree_moves_rows_only_where_weights_change(spark):
     keys = spark.range(4000).select(F.col("id").cast("string").alias("k"))
     leaves = sharding.topology(8)

@@ -44,12 +44,16 @@ class _Ids:
     """Token ids of texts as little-endian bytes.
 
     Where the tokenizer marks the ends of words and works on one run of letters at a time, a text can be cut at its spaces and
-    line feeds, a word freed of its last full stop or comma, and the ids of what comes often kept. New words are read many at
-    once. What is kept has two generations: a full one becomes the older, and what is asked of it moves on, so that frequent
+    line feeds, a word freed of the marks at its end, and the ids of what comes often kept. New words are read many at once;
+    those of a-z, which no normalizer changes, by the bare model, if that reads words of the vocabulary alike. What is kept has two generations: a full one becomes the older, and what is asked of it moves on, so that frequent
     words stay. Other tokenizers, told by a text of odd cases read both ways, read whole texts.
     """
 
-    PROBE = "The cat.\nthe CAT, Ärger 3.5 a.b U.S. don't  x,y - straße. naïve\u0301 \u65e5\u672c\u8a9e, ok"
+    PROBE = (
+        "The cat.\nthe CAT, Ärger 3.5 a.b U.S. don't  x,y - straße. naïve\u0301 \u65e5\u672c\u8a9e, ok"
+        " end!! Cost$$$ ÈRÉ!!! (it) so,... a&&&, b### x*** [c]; d: \"e\" f% g~ h/ i= j|> k_ l-- m{} n`^ o@+ p\\ q< r?!"
+    )
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # all of ASCII but the apostrophe, which may begin a contraction
 
     def __init__(self, path: str, kept: int = CACHE):
         self.kept = kept
@@ -65,10 +69,25 @@ class _Ids:
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.older_words: dict[str, bytes] = {}
+        self.bare = None
         self.cuts = bool(self.suffix) and self.of([self.PROBE]) == self._plain([self.PROBE])
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.cuts:
+            self.bare = self._bare(path)
+
+    def _bare(self, path: str):
+        """The model behind a cut at white space only, if it reads words of a-z as the tokenizer does; else nothing."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        bare = Tokenizer.from_file(path)
+        bare.normalizer = normalizers.Sequence([])
+        bytes_ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_])
+        listed = sorted(w for t in self.tokenizer.get_vocab() if (w := t.removesuffix(self.suffix)).isascii() and w.isalpha() and w.islower())
+        words = [a + b for a, b in zip(listed[::40], reversed(listed[::40]), strict=True)] + listed[::40]
+        return bare if self._plain([" ".join(words)]) == self._plain([" ".join(words)], bare) else None
+
+    def _plain(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        found = [array("I", e.ids) for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         if sys.byteorder != "little":
             for ids in found:
                 ids.byteswap()
@@ -84,19 +103,21 @@ class _Ids:
             self.older_words, self.words = self.words, {}
         known, words = self.known, self.words
         new = self._moved(set().union(*chunked).difference(known), self.older, known)
-        odd, cut = [], []
+        odd, cut, bodies, tails = [], [], [], []  # strings in lists, as a tuple for each new chunk would keep the collector busy
         for c in new:
             if c.isalpha():
-                cut.append((c, c.lower() if c.isascii() and not c.islower() else c, ""))
-            elif c[-1] in ".," and (word := c[:-1]).isalpha():
-                cut.append((c, word.lower() if word.isascii() else word, c[-1]))
-            else:
+                body = c
+            elif not (body := c.rstrip(self.MARKS)).isalpha():
                 odd.append(c)
-        self._read_words(self._moved({w for _, w, _ in cut}.difference(words), self.older_words, words))
-        odd += {m for _, _, m in cut if m}.difference(known)
+                continue
+            cut.append(c)
+            bodies.append(body.lower() if body.isascii() else body)
+            tails.append(c[len(body) :])
+        self._read_words(self._moved(set(bodies).difference(words), self.older_words, words))
+        odd += set(tails).difference(known)
         known.update(zip(odd, self._plain(odd), strict=True))
-        for c, word, mark in cut:
-            known[c] = words[word] + known[mark]
+        for c, body, tail in zip(cut, bodies, tails, strict=True):
+            known[c] = words[body] + known[tail] if tail else words[body]
         return [b"".join(map(known.__getitem__, chunks)) for chunks in chunked]
 
     @staticmethod
@@ -108,9 +129,13 @@ class _Ids:
         return asked - found if found else asked
 
     def _read_words(self, words: set[str]) -> None:
-        listed = list(words)
+        letters = {w for w in words if w.isascii()} if self.bare else set()
+        for some, tokenizer in ((list(letters), self.bare), (list(words - letters), None)):
+            self._read_lines(some, tokenizer)
+
+    def _read_lines(self, listed: list[str], tokenizer) -> None:
         lines = [listed[a : a + LINE] for a in range(0, len(listed), LINE)]
-        for line, data in zip(lines, self._plain([" ".join(line) for line in lines]), strict=True):
+        for line, data in zip(lines, self._plain([" ".join(line) for line in lines], tokenizer), strict=True):
             cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4).tolist()
             if len(cuts) == len(line):
                 self.words.update(zip(line, map(data.__getitem__, map(slice, [0, *cuts], cuts)), strict=False))

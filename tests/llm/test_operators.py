@@ -365,6 +365,17 @@ def test_a_set_is_sent_once_for_each_chunk_of_its_component(spark):
     assert len(pairs) == len(set(pairs)) == 40 * 32 // 2
 
 
+def test_words_with_marks_are_read_by_lines():
+    ids = packing._Ids(tokenizer_path())
+    letters = "abcdefghij"
+    words = ["".join(letters[int(d)] for d in str(i)) for i in range(1000, 1400)]
+    texts = [" ".join(w + m for w in words for m in ("!!", "$$$", "&&&,", "")), "Ünd!!! don't's it's, <|endoftext|>. x<y a.b ... it'll!!"]
+    whole, plain, read = ids._plain(texts), ids._plain, []
+    ids._plain = lambda lines, *more: read.extend(lines) or plain(lines, *more)
+    assert ids.of(texts) == whole
+    assert len(read) < 30 and ids.bare is not None
+
+
 def test_one_row_of_each_group_stays(spark, odd):
     kept = jaccard_join.keep_one(odd)
     assert kept.columns == odd.columns
